@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import mixing, ngram_ratio, quality_model, token_counts, token_files
+from pagemill.llm import mixing, near_dups, ngram_ratio, quality_model, token_counts, token_files
 from pagemill.llm.common import load
 
 
@@ -26,6 +26,10 @@ def op4_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.scored_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_components(load(spark, sf_dir, "documents"), threshold=85, width=3)
+
+
 def op7_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_ratio.judged(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -34,5 +38,5 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encoded_documents(load(spark, sf_dir, "documents"), tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mix, op2_token_counts, op4_quality_scores, op7_ngram_rules, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_source_mix, op2_token_counts, op4_quality_scores, op5_near_duplicates, op7_ngram_rules, op9_token_files)}
 ORACLE_SQL: dict[str, str] = {}
