@@ -1,10 +1,57 @@
-"""A corpus for training: quality, near copies, benchmark leaks, source weights, token files."""
+"""A corpus for training: quality, near copies, benchmark leaks, source weights, token files.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before kept; all but the last return the
+columns of ``docs``. ``run`` writes each stage as Parquet to the shared folder and reads it for the next one.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from pagemill.llm import decontaminate, mixing, near_dups, quality_model, token_files
+from pagemill.llm.common import load, stage
+from pagemill.llm.queries import tokenizer
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled ones, doesn't reject."""
+    return quality_model.reject_low(docs, quality_model.train(docs, load(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that five-word shingles link at a similarity of 0.8."""
+    return near_dups.drop_near(docs, threshold=80, width=5)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark items."""
+    return decontaminate.drop_leaks(docs, load(spark, sf_dir, "benchmark"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mix_sources(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix, read back: a row for each document that they hold."""
+    return token_files.encoded_documents(docs, tokenizer())
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixture", mixture),
+    ("token_output", token_output),
+]
+
+#: Boosted trees, sketches and files can't be told in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

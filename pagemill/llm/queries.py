@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import chat, decontaminate, mixing, near_dups, ngram_ratio, personal_data, quality_model, token_counts, token_files
+from pagemill.llm import chat, decontaminate, mixing, near_dups, ngram_ratio, personal_data, quality_model, substring_dedup, token_counts, token_files
 from pagemill.llm.common import load
 
 
@@ -22,6 +22,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over_limit(load(spark, sf_dir, "documents"), tokenizer())
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(load(spark, sf_dir, "documents"))
+
+
 def op4_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.scored_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -50,5 +54,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.reported(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mix, op2_token_counts, op4_quality_scores, op5_near_duplicates, op6_chat_format, op7_ngram_rules, op8_benchmark_leaks, op9_token_files, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_source_mix, op2_token_counts, op3_substring_dedup, op4_quality_scores, op5_near_duplicates, op6_chat_format, op7_ngram_rules, op8_benchmark_leaks, op9_token_files, op10_personal_data)}
 ORACLE_SQL: dict[str, str] = {"op6_chat_format": chat.SQL}
