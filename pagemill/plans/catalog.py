@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from pagemill.plans import table_queries, text_queries
+
+QUERIES: dict = text_queries.QUERIES | table_queries.QUERIES
+ORACLE_SQL: dict[str, str] = text_queries.SQL | table_queries.SQL
