@@ -19,7 +19,7 @@ def parsed(spark, root: str, shard: tuple[int, int] | None = None):
     if shard:
         files = files.filter(ledger.shard(F.col("sha256"), shard[1]) == shard[0])
     files = files.withColumn("d", detect(F.col("content"), F.col("name"))).withColumn("doc_id", loaders.document_id(F.col("sha256")))
-    text = files.withColumn("text", F.decode("content", "UTF-8"))
+    text = files.withColumn("text", F.make_valid_utf8(F.col("content").cast("string")))
     out = None
     for slug in loaders.BLOCK_LOADERS:
         part = text.filter(F.col("d.slug") == slug).select("doc_id", "sha256", F.explode(loaders.blocks_of(slug)("text")).alias("b")).select("doc_id", "sha256", "b.*")

@@ -109,6 +109,11 @@ def _signal(name: str, value: Column, applies: Column | None = None, known: Colu
     return F.struct(F.lit(f"metric_{name}").alias("name"), F.when(status == "ok", value.cast("double")).alias("value"), status.alias("status"))
 
 
+def _rounded(x: Column) -> Column:
+    """At most 1, half-even at 3; least() alone would pass over a null."""
+    return F.when(x.isNotNull(), F.bround(F.least(F.lit(1.0), x), 3))
+
+
 # Features of a document: pages, chars array<long> (per page), blocks array<long>, image_ratio array<double>, columns long (pages
 # with several columns), tables long, fonts array<string>, mean_line double
 def _mean(x: Column) -> Column:
@@ -137,7 +142,7 @@ def layout_detector() -> list[Column]:
     share = F.col("columns") / F.greatest(F.col("pages"), F.lit(1))
     return [
         _signal("multi_column_probability", F.bround(share, 3)),
-        _signal("layout_complexity", F.bround(F.least(F.lit(1.0), F.array_max("blocks") / 40), 3)),
+        _signal("layout_complexity", _rounded(F.array_max("blocks") / 40)),
         _signal("block_fragmentation", F.bround(F.least(F.lit(1.0), _mean(F.col("blocks").cast("array<double>")) / 40 + share), 3)),
     ]
 
@@ -149,7 +154,7 @@ def ocr_detector() -> list[Column]:
 
 def table_detector() -> list[Column]:
     n = F.col("tables")
-    return [_signal("table_present", F.when(n > 0, 1.0).when(n.isNotNull(), 0.0)), _signal("table_probability", F.bround(F.least(F.lit(1.0), n / 3), 3))]
+    return [_signal("table_present", F.when(n > 0, 1.0).when(n.isNotNull(), 0.0)), _signal("table_probability", _rounded(n / 3))]
 
 
 def form_detector() -> list[Column]:

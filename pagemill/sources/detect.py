@@ -112,7 +112,7 @@ def detect(content: Column, name: Column) -> Column:
     """struct<slug, mime, probe, confidence, declared, unresolved>."""
     hexa = lambda x: F.expr(f"X'{x}'")
     found = lambda slug, probe, confidence, lost=False: F.struct(slug.alias("slug"), F.lit(probe).alias("probe"), (confidence if isinstance(confidence, Column) else F.lit(confidence)).alias("confidence"), F.lit(lost).alias("unresolved"))
-    head = F.regexp_replace(F.decode(F.substring(content, 1, HEAD), "UTF-8"), "^\\uFEFF", "")
+    head = F.regexp_replace(F.make_valid_utf8(F.substring(content, 1, HEAD).cast("string")), "^\\uFEFF", "")
     text = F.regexp_replace(head, "\\uFFFD", "")
     result = F.when(content.isNull() | (F.length(content) == 0), found(F.lit("unknown"), "empty", 0.0, True))
     for magic, slug in MAGIC:
