@@ -9,8 +9,9 @@ further left) goes; strings are judged on the input.
    contexts only the first, so that a passage that everybody quotes arrives once a block of input. There, sorted, a
    context that occurred before is repeated as a whole. Where an anchor has one context nothing is left to decide.
 3. Anchors whose first occurrences differ in context need a comparison of windows: the contexts' bytes meet in a task, a
-   suffix array is built over them (``suffix_array``: linear grouping by Lyndon prefixes), and windows that are
-   neighbours in it and equal byte by byte form runs; all but the earliest of a run are repeated. Anchors with more than
+   suffix array is built over them in blocks of eight counted from the anchor (``suffix_array``: linear grouping by
+   Lyndon prefixes), neighbours in it tell which windows have equal cores, and windows with equal cores and edges are
+   equal; all but the earliest are repeated. Anchors with more than
    ``SPLIT_BYTES`` of contexts are split by window content: a window that has no equal by 64-bit hash is left out, the others
    meet in as many suffix arrays as keep each within that size.
 4. The spans of a document are joined to its text and merged.
@@ -37,7 +38,7 @@ from pagemill.llm.suffixes import suffix_array
 from pagemill.llm.textvec import BYTES, U64, Block, blocks, mix, prefix, span_hash
 
 #: Bytes under one suffix array, where groups are small, and the most of one group.
-ARRAY_BYTES, SPLIT_BYTES = 1 << 17, 2_500_000
+ARRAY_BYTES, SPLIT_BYTES = 1 << 19, 8_000_000
 _SECOND = mix(BYTES) | U64(1)
 FIRST, WHOLE, COMPETE = 0, 1, 2
 
@@ -61,11 +62,11 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts(b: Block, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Anchor hash, context hash, row in the block, first window (place in the document), number of windows."""
+    """Anchor hash, context hash, row in the block, first window (place in the document), number of windows, anchor's distance."""
     n = len(b.buf)
     none = np.zeros(0, np.int64)
     if n < length:
-        return none.astype(U64), none.astype(U64), none, none, none
+        return none.astype(U64), none.astype(U64), none, none, none, none
     running = prefix(b.buf)
     at = np.arange(n - gram + 1)
     h = span_hash(running, at, at + gram)
@@ -86,7 +87,7 @@ def contexts(b: Block, length: int, gram: int) -> tuple[np.ndarray, ...]:
     ctx = span_hash(prefix(b.buf, _SECOND), lo, lo + count + length - 1)
     row = np.searchsorted(b.starts, lo, "right") - 1
     # of documents that start at one place (empty ones before it), the last has the bytes
-    return h[anchor[lo]], ctx, row, lo - b.starts[row], count
+    return h[anchor[lo]], ctx, row, lo - b.starts[row], count, anchor[lo] - lo
 
 
 def merged(key: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,12 +105,12 @@ def merged(key: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
     return key[at], lo[at], reach[np.append(at[1:], len(key)) - 1]
 
 
-_ROWS = "kind int, anchor long, ctx long, key long, lo long, n long"
-_NAMES = ["kind", "anchor", "ctx", "key", "lo", "n"]
+_ROWS = "kind int, anchor long, ctx long, key long, lo long, n long, off long"
+_NAMES = ["kind", "anchor", "ctx", "key", "lo", "n", "off"]
 
 
-def _row_batch(kind: int, anchor: np.ndarray, ctx: np.ndarray, key: np.ndarray, lo: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    columns = [np.full(len(key), kind, np.int32), anchor.view(np.int64), ctx.view(np.int64), key, lo, n]
+def _row_batch(kind: int, anchor: np.ndarray, ctx: np.ndarray, key: np.ndarray, lo: np.ndarray, n: np.ndarray, off: np.ndarray) -> pa.RecordBatch:
+    columns = [np.full(len(key), kind, np.int32), anchor.view(np.int64), ctx.view(np.int64), key, lo, n, off]
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], _NAMES)
 
 
@@ -118,16 +119,16 @@ def _places(docs: DataFrame, length: int, gram: int) -> DataFrame:
         for batch in batches:
             keys = batch.column("key").to_numpy()
             for b in blocks(batch.column("text")):
-                anchor, ctx, row, lo, n = contexts(b, length, gram)
+                anchor, ctx, row, lo, n, off = contexts(b, length, gram)
                 key = keys[b.row + row]
                 o = np.lexsort((lo, key, anchor, ctx))
-                anchor, ctx, key, lo, n = anchor[o], ctx[o], key[o], lo[o], n[o]
+                anchor, ctx, key, lo, n, off = anchor[o], ctx[o], key[o], lo[o], n[o], off[o]
                 again = np.zeros(len(o), bool)
                 again[1:] = (ctx[1:] == ctx[:-1]) & (anchor[1:] == anchor[:-1])
-                yield _row_batch(FIRST, *(x[~again] for x in (anchor, ctx, key, lo, n)))
+                yield _row_batch(FIRST, *(x[~again] for x in (anchor, ctx, key, lo, n, off)))
                 if again.any():
                     k, s, e = merged(key[again], lo[again], lo[again] + n[again])
-                    yield _row_batch(WHOLE, mix(k.astype(U64)), np.zeros(len(k), U64), k, s, e - s)
+                    yield _row_batch(WHOLE, mix(k.astype(U64)), np.zeros(len(k), U64), k, s, e - s, np.zeros(len(k), np.int64))
 
     return docs.select("key", "text").mapInArrow(find, _ROWS)
 
@@ -136,11 +137,11 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows -> WHOLE rows and, for anchors with several contexts, their first occurrences as COMPETE."""
     last, held, held_before = None, None, False
     for batch in batches:
-        kind, anchor, ctx, key, lo, n = (batch.column(c).to_numpy() for c in _NAMES)
+        kind, anchor, ctx, key, lo, n, off = (batch.column(c).to_numpy() for c in _NAMES)
         done = kind == WHOLE
         if done.any():
-            yield _row_batch(WHOLE, *(x[done] for x in (anchor, ctx, key, lo, n)))
-            anchor, ctx, key, lo, n = (x[~done] for x in (anchor, ctx, key, lo, n))
+            yield _row_batch(WHOLE, *(x[done] for x in (anchor, ctx, key, lo, n, off)))
+            anchor, ctx, key, lo, n, off = (x[~done] for x in (anchor, ctx, key, lo, n, off))
         if not len(key):
             continue
         again = np.zeros(len(key), bool)
@@ -148,8 +149,8 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again[0] = last == (anchor[0], ctx[0])
         last = anchor[-1], ctx[-1]
         if again.any():
-            yield _row_batch(WHOLE, *(x[again] for x in (anchor, ctx, key, lo, n)))
-        first = [x[~again] for x in (anchor, ctx, key, lo, n)]
+            yield _row_batch(WHOLE, *(x[again] for x in (anchor, ctx, key, lo, n, off)))
+        first = [x[~again] for x in (anchor, ctx, key, lo, n, off)]
         if held is not None:
             first = [np.append(h, x) for h, x in zip(held, first, strict=True)]
         if not len(first[0]):
@@ -164,42 +165,78 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _row_batch(COMPETE, *held)
 
 
-def _repeats(parts: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of windows in (key, lo, bytes), sorted by key and lo: key and place of those that also start earlier."""
-    data = np.frombuffer(b"\0".join(x for _, _, x in parts), np.uint8)
-    size = np.array([len(x) for _, _, x in parts])
-    head = np.cumsum(size + 1) - size - 1
-    begin = np.repeat(np.arange(len(parts)), size - length + 1)
-    offset = np.arange(len(begin)) - np.repeat(np.cumsum(size - length + 1) - (size - length + 1), size - length + 1)
-    start = np.zeros(len(data), bool)
-    start[head[begin] + offset] = True
-    # separators below all bytes; no window has one
-    text = data.astype(np.int64) + 1
-    text[(head + size)[:-1]] = 0
-    order = np.array(suffix_array(text), np.int64)
-    order = order[start[order]]
-    window = np.lib.stride_tricks.sliding_window_view(data, length)
-    equal = np.zeros(len(order), bool)
+#: key, place in the document, distance of the anchor, bytes
+Part = tuple[int, int, int, bytes]
+
+
+def _windows(size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Part and offset of every window."""
+    count = size - length + 1
+    part = np.repeat(np.arange(len(size)), count)
+    return part, np.arange(len(part)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _repeats(parts: list[Part], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows of parts sorted by key and place: key and place of those that also start earlier.
+
+    Equal windows lie alike around their anchor, so the suffix array is built over blocks of ``wide`` bytes counted from
+    it, an eighth of the bytes. Neighbours in it give each block the class of the ``core`` blocks from there on; a
+    window is told by the class of the first block in it and by its own few bytes around that core.
+    """
+    wide = 8 if length >= 32 else 1
+    core = (length - wide + 1) // wide
+    data = np.frombuffer(b"".join(x for *_, x in parts), np.uint8)
+    size = np.array([len(x) for *_, x in parts], np.int64)
+    phase = np.array([off for _, _, off, _ in parts], np.int64) % wide
+    head = np.cumsum(size) - size
+    blocks_in = (size - phase) // wide
+    first = np.cumsum(blocks_in + 1) - blocks_in - 1  # each part's blocks are followed by a separator
+    part = np.repeat(np.arange(len(parts)), blocks_in)
+    nth = np.arange(len(part)) - np.repeat(np.cumsum(blocks_in) - blocks_in, blocks_in)
+    raw = data[(head[part] + phase[part] + nth * wide)[:, None] + np.arange(wide)]
+    _, rank = np.unique(raw.view(">u8").ravel() if wide == 8 else raw.ravel(), return_inverse=True)
+    symbols = np.zeros(int((blocks_in + 1).sum()), np.int64)
+    symbols[first[part] + nth] = rank + 1
+    whole = np.zeros(len(symbols), bool)
+    whole[(first[part] + nth)[nth + core <= blocks_in[part]]] = True
+    order = np.array(suffix_array(symbols), np.int64)
+    order = order[whole[order]]
+    run = np.lib.stride_tricks.sliding_window_view(np.append(symbols, np.zeros(core, np.int64)), core)
+    new = np.ones(len(order), bool)
     for k in range(1, len(order), 1 << 16):
-        a, b = order[k - 1 : k - 1 + (1 << 16)], order[k : k + (1 << 16)]
-        equal[k : k + len(b)] = (window[a[: len(b)]] == window[b]).all(axis=1)
-    run = np.cumsum(~equal) - 1
-    least = np.full(run[-1] + 1 if len(run) else 0, len(data))
-    np.minimum.at(least, run, order)
-    hit = np.sort(order[order != least[run]])
-    part = np.searchsorted(head, hit, "right") - 1
-    keys, lows = np.array([k for k, _, _ in parts]), np.array([lo for _, lo, _ in parts])
-    return keys[part], lows[part] + hit - head[part]
-
-
-def _split(parts: list[tuple[int, int, bytes]], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+        b = order[k : k + (1 << 16)]
+        new[k : k + len(b)] = (run[order[k - 1 : k - 1 + len(b)]] != run[b]).any(axis=1)
+    kind = np.cumsum(new) - 1
+    many = np.bincount(kind) > 1 if len(kind) else np.zeros(0, bool)
+    class_of = np.full(len(symbols), -1)
+    class_of[order] = np.where(many[kind], kind, -1)
+
+    part, offset = _windows(size, length)
+    block = np.maximum(0, -(-(offset - phase[part]) // wide))
+    lead = phase[part] + block * wide - offset
+    kind = class_of[first[part] + block]
+    keep = kind >= 0
+    part, offset, lead, kind = part[keep], offset[keep], lead[keep], kind[keep]
+    edge = length - core * wide
+    at = np.arange(edge)[None, :]
+    around = np.zeros((len(part), 16), np.uint8)
+    around[:, :edge] = data[(head[part] + offset)[:, None] + at + np.where(at >= lead[:, None], core * wide, 0)]
+    ends = around.view(np.uint64)
+    keys = (ends[:, 1], ends[:, 0], kind * wide + lead)
+    o = np.lexsort(keys)
+    same = np.zeros(len(o), bool)
+    same[1:] = np.logical_and.reduce([k[o][1:] == k[o][:-1] for k in keys])
+    hit = np.sort(o[same])  # the sort is stable, so the first of equals is the earliest
+    key, low = np.array([k for k, *_ in parts], np.int64), np.array([lo for _, lo, *_ in parts], np.int64)
+    return key[part[hit]], low[part[hit]] + offset[hit]
+
+
+def _split(parts: list[Part], length: int) -> Iterator[list[Part]]:
     """Windows with an equal one by hash, in groups that hold all equals together, each within the size."""
-    data = np.frombuffer(b"".join(x for _, _, x in parts), np.uint8)
-    size = np.array([len(x) for _, _, x in parts])
-    head = np.cumsum(size) - size
-    part = np.repeat(np.arange(len(parts)), size - length + 1)
-    offset = np.arange(len(part)) - np.repeat(np.cumsum(size - length + 1) - (size - length + 1), size - length + 1)
-    at = head[part] + offset
+    data = np.frombuffer(b"".join(x for *_, x in parts), np.uint8)
+    size = np.array([len(x) for *_, x in parts], np.int64)
+    part, offset = _windows(size, length)
+    at = (np.cumsum(size) - size)[part] + offset
     h = span_hash(prefix(data), at, at + length)
     _, back, count = np.unique(h, return_inverse=True, return_counts=True)
     twice = count[back] > 1
@@ -207,31 +244,32 @@ def _split(parts: list[tuple[int, int, bytes]], length: int) -> Iterator[list[tu
     n = max(1, -(-len(h) * length // SPLIT_BYTES))
     for k in range(n):
         mine = np.flatnonzero(h % U64(n) == k)
-        yield [(parts[p][0], parts[p][1] + o, parts[p][2][o : o + length]) for p, o in zip(part[mine].tolist(), offset[mine].tolist(), strict=True)]
+        yield [(parts[p][0], parts[p][1] + o, parts[p][2] - o, parts[p][3][o : o + length]) for p, o in zip(part[mine].tolist(), offset[mine].tolist(), strict=True)]
 
 
 def _compare(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solve(parts: list[tuple[int, int, bytes]], split: bool) -> Iterator[pa.RecordBatch]:
+        def solve(parts: list[Part], split: bool) -> Iterator[pa.RecordBatch]:
             for some in _split(parts, length) if split else [parts]:
                 if len(some) > 1:
                     key, at = _repeats(some, length)
                     k, lo, hi = merged(key, at, at + length)
                     yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(lo), pa.array(hi)], ["key", "lo", "hi"])
 
-        ready, group, held, now = [], [], 0, None
+        ready, group, held, waiting, now = [], [], 0, 0, None
         for batch in batches:
-            for anchor, key, lo, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "key", "lo", "bytes")), strict=True):
+            for anchor, key, lo, off, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "key", "lo", "off", "bytes")), strict=True):
                 if anchor != now:
                     if held > SPLIT_BYTES:
                         yield from solve(group, True)
                     else:
                         ready += group
-                    if sum(len(x) for _, _, x in ready) > ARRAY_BYTES if held > 4096 else len(ready) > ARRAY_BYTES // 128:
+                        waiting += held
+                    if waiting > ARRAY_BYTES:
                         yield from solve(ready, False)
-                        ready = []
+                        ready, waiting = [], 0
                     group, held, now = [], 0, anchor
-                group.append((key, lo, data))
+                group.append((key, lo, off, data))
                 held += len(data)
         if held > SPLIT_BYTES:
             yield from solve(group, True)
@@ -247,23 +285,24 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     """Of ``keyed`` documents: key, lo, hi (bytes) of repeats; spans may overlap."""
     gram = min(32, max(1, length // 2))
     rows = _places(docs, length, gram).repartition("anchor").sortWithinPartitions("anchor", "ctx", "key", "lo")
-    decided = stage(rows.mapInArrow(_decide, _ROWS).select("kind", "anchor", "key", "lo", "n"), "contexts")
-    wanted = decided.filter(F.col("kind") == COMPETE).groupBy("key").agg(F.collect_list(F.struct("anchor", "lo", "n")).alias("wanted"))
+    decided = stage(rows.mapInArrow(_decide, _ROWS).select("kind", "anchor", "key", "lo", "n", "off"), "contexts")
+    wanted = decided.filter(F.col("kind") == COMPETE).groupBy("key").agg(F.collect_list(F.struct("anchor", "lo", "n", "off")).alias("wanted"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, texts, lists = batch.column("key").to_numpy(), batch.column("text"), batch.column("wanted").to_pylist()
-            out: tuple[list, list, list, list] = ([], [], [], [])
+            out: tuple[list, list, list, list, list] = ([], [], [], [], [])
             for k, text, wants in zip(key.tolist(), texts, lists, strict=True):
                 raw = text.as_buffer().to_pybytes()
                 for w in wants:
                     out[0].append(w["anchor"])
                     out[1].append(k)
                     out[2].append(w["lo"])
-                    out[3].append(raw[w["lo"] : w["lo"] + w["n"] + length - 1])
-            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.binary())], ["anchor", "key", "lo", "bytes"])
+                    out[3].append(w["off"])
+                    out[4].append(raw[w["lo"] : w["lo"] + w["n"] + length - 1])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in out[:4]), pa.array(out[4], pa.binary())], ["anchor", "key", "lo", "off", "bytes"])
 
-    bytes_ = docs.select("key", "text").join(wanted, "key").mapInArrow(fetch, "anchor long, key long, lo long, bytes binary")
+    bytes_ = docs.select("key", "text").join(wanted, "key").mapInArrow(fetch, "anchor long, key long, lo long, off long, bytes binary")
     compared = bytes_.repartition("anchor").sortWithinPartitions("anchor", "key", "lo").mapInArrow(_compare(length), "key long, lo long, hi long")
     whole = decided.filter(F.col("kind") == WHOLE).select("key", "lo", (F.col("lo") + F.col("n") + (length - 1)).alias("hi"))
     return whole.unionByName(stage(compared, "compared"))
