@@ -31,6 +31,8 @@ WEIGHTS = {
 # Tiers with their score bands, and the confidence below which the next tier takes over.
 TIERS = (("native", 0, 30, 0.50), ("enrichment", 31, 60, 0.35), ("docling", 61, 100, 0.0))
 POOR_TEXT, FULL_IMAGE = 30, 0.9
+#: Sums in decimals do not depend on the order of rows, so neither do rounded scores.
+EXACT = "decimal(28,12)"
 
 
 def weights_table(spark: SparkSession, weights: dict[str, float] | None = None) -> DataFrame:
@@ -51,7 +53,7 @@ def score(signals: DataFrame, weights: DataFrame, total_weight: float = sum(WEIG
     best = ok.withColumn("_r", F.when(F.col("_ok"), F.row_number().over(Window.partitionBy("doc_id", "name", "_ok").orderBy(F.desc("place")))))
     counts = F.col("_r") == 1
     per = best.groupBy("doc_id").agg(
-        F.coalesce(F.sum(F.when(counts & (to_unit(F.col("value")) > 0), F.col("weight") * to_unit(F.col("value")))), F.lit(0.0)).alias("s"),
+        F.coalesce(F.sum(F.when(counts & (to_unit(F.col("value")) > 0), F.col("weight") * to_unit(F.col("value"))).cast(EXACT)).cast("double"), F.lit(0.0)).alias("s"),
         F.coalesce(F.sum(F.when(counts, F.col("weight"))), F.lit(0.0)).alias("measured"),
         F.sum(F.when(F.col("weight").isNull(), 1).otherwise(0)).alias("unknown"),
     )

@@ -158,7 +158,7 @@ _ROUTES = """WITH w(name, weight) AS (VALUES ('metric_scanned_page_probability',
 s AS (SELECT user_id AS doc_id, event_id, ['metric_scanned_page_probability', 'metric_table_probability', 'metric_reading_order_ambiguity', 'metric_ocr_required', 'metric_other'][event_id % 5 + 1] AS name, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value / 100 END AS value FROM events),
 u AS (SELECT doc_id, sum((name = 'metric_other')::INT) AS unknown FROM s GROUP BY doc_id),
 l AS (SELECT s.doc_id, s.name, weight, greatest(0.0, least(1.0, value)) AS v FROM s JOIN w USING (name) WHERE value IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id, s.name ORDER BY event_id DESC) = 1),
-d AS (SELECT u.doc_id, round_even(greatest(0.0, least(100.0, coalesce(sum(weight * v), 0.0))), 3) AS score, round_even(coalesce(sum(weight), 0.0) / 163.0::DOUBLE, 4) AS confidence, any_value(unknown)::BIGINT AS unknown FROM u LEFT JOIN l USING (doc_id) GROUP BY u.doc_id),
+d AS (SELECT u.doc_id, round_even(greatest(0.0, least(100.0, coalesce(sum((weight * v)::DECIMAL(28,12))::DOUBLE, 0.0))), 3) AS score, round_even(coalesce(sum(weight), 0.0) / 163.0::DOUBLE, 4) AS confidence, any_value(unknown)::BIGINT AS unknown FROM u LEFT JOIN l USING (doc_id) GROUP BY u.doc_id),
 r AS (SELECT *, CASE WHEN trunc(score) <= 30 THEN CASE WHEN confidence < 0.5 THEN 'enrichment' ELSE 'native' END WHEN trunc(score) <= 60 THEN CASE WHEN confidence < 0.35 THEN 'docling' ELSE 'enrichment' END ELSE 'docling' END AS route FROM d)"""
 
 
