@@ -83,8 +83,12 @@ def candidates(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFra
     step = -2 * float(np.log(threshold)) if threshold < 1 else 1.0
     band = lambda off: F.floor(F.log(F.col("n").cast("double")) / step + off).cast("int")
     inside = hot.join(dense.select("rep"), "rep").select("rep", "v", F.explode(F.array(F.struct(F.lit(0).alias("k"), band(0.0).alias("at")), F.struct(F.lit(1).alias("k"), band(0.5).alias("at")))).alias("band"))
-    least = inside.groupBy("v", "band").agg(F.min("rep").alias("b"))
-    stars = inside.join(least, ["v", "band"]).filter(F.col("rep") != F.col("b")).select(F.col("rep").alias("a"), "b").distinct()
+    # by way of the smallest of a part of the list, so that no task joins a whole list
+    inside = inside.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(64)))
+    parts = inside.groupBy("v", "band", "part").agg(F.min("rep").alias("b"))
+    least = parts.groupBy("v", "band").agg(F.min("b").alias("c"))
+    stars = inside.join(parts, ["v", "band", "part"]).select(F.col("rep").alias("a"), "b").distinct()
+    stars = stars.unionByName(parts.join(least, ["v", "band"]).select(F.col("b").alias("a"), F.col("c").alias("b"))).filter(F.col("a") != F.col("b"))
     return edges.unionByName(stars), shared.groupBy("rep").agg(F.sum("members").alias("common"))
 
 
@@ -163,7 +167,8 @@ def confirmed(docs: DataFrame, classes: DataFrame, threshold: int, width: int) -
     edges, common = candidates(classes, threshold / 100)
     member = components(edges).select(F.col("node").alias("rep"), F.col("component").alias("of"))
     sized = member.join(member.groupBy("of").agg(F.count("*").alias("size")), "of")
-    texts = sized.join(text_of(docs).filter(F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "rep"), "rep")
+    # a merge join at every size: the members grow with the corpus and are not broadcast
+    texts = sized.hint("merge").join(text_of(docs).filter(F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "rep"), "rep")
     # with ids that repeat, all their texts stand for the node
     texts = stage(texts.select("rep", "of", "size", "text"), "candidate-texts")
     yes, no = F.lit(True), F.lit(False)
