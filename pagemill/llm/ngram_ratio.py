@@ -9,7 +9,8 @@ Defined results: a null text or one without words has no n-grams, the ratio 0 an
 documents every ratio is 0; repeated rows count as often as they occur; other columns are ignored.
 
 Scale: two passes over the texts. The first gives at most ``BUCKETS`` rows a task, summed by bucket, so the table that
-reaches the driver has ``BUCKETS`` rows at any size. Trusted ids are joined, not broadcast, unless Spark finds them small.
+reaches the driver has ``BUCKETS`` rows at any size. Trusted ids are joined by merge, which
+shuffles the texts once.
 """
 
 from __future__ import annotations
@@ -55,7 +56,9 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.n
         at = np.flatnonzero(both[0])
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(both[0, at]), pa.array(both[1, at])], ["bucket", "raw", "trusted"])
 
-    marked = text_of(docs).join(trusted.select("doc_id").distinct().withColumn("_trusted", F.lit(True)), "doc_id", "left")
+    # a merge join at every size: the trusted ids grow with the corpus and are not broadcast
+    ids = trusted.select("doc_id").distinct().withColumn("_trusted", F.lit(True)).hint("merge")
+    marked = text_of(docs).join(ids, "doc_id", "left")
     marked = marked.select("text", F.coalesce("_trusted", F.lit(False)).alias("_trusted"))
     rows = marked.mapInArrow(count, "bucket int, raw long, trusted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).collect()
     raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
