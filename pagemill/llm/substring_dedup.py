@@ -11,9 +11,9 @@ further left) goes; strings are judged on the input.
 3. Anchors whose first occurrences differ in context need a comparison of windows: the contexts' bytes meet in a task, a
    suffix array is built over them in blocks of eight counted from the anchor (``suffix_array``: linear grouping by
    Lyndon prefixes), neighbours in it tell which windows have equal cores, and windows with equal cores and edges are
-   equal; all but the earliest are repeated. Anchors with more than
-   ``SPLIT_BYTES`` of contexts are split by window content: a window that has no equal by 64-bit hash is left out, the others
-   meet in as many suffix arrays as keep each within that size.
+   equal; all but the earliest are repeated. Of an anchor with more than
+   ``SPLIT_BYTES`` of contexts the windows are dealt out one by one, by a hash of their bytes and one of ``SALTS`` parts
+   of the documents: suffix arrays of at most ``ARRAY_BYTES`` leave the first of each part, then the first of all.
 4. The spans of a document are joined to its text and merged.
 
 Defined results: a null text is the empty text (nothing removed, the hash of no bytes); matches never cross documents; rows
@@ -37,8 +37,8 @@ from pagemill.llm.common import stage, text_of
 from pagemill.llm.suffixes import suffix_array
 from pagemill.llm.textvec import BYTES, U64, Block, blocks, mix, prefix, span_hash
 
-#: Bytes under one suffix array, where groups are small, and the most of one group.
-ARRAY_BYTES, SPLIT_BYTES = 1 << 19, 8_000_000
+#: Bytes under one suffix array, where groups are small; the most of one group; tasks that may share one window's rows.
+ARRAY_BYTES, SPLIT_BYTES, SALTS = 1 << 19, 8_000_000, 1024
 _SECOND = mix(BYTES) | U64(1)
 FIRST, WHOLE, COMPETE = 0, 1, 2
 
@@ -231,52 +231,57 @@ def _repeats(parts: list[Part], length: int) -> tuple[np.ndarray, np.ndarray]:
     return key[part[hit]], low[part[hit]] + offset[hit]
 
 
-def _split(parts: list[Part], length: int) -> Iterator[list[Part]]:
-    """Windows with an equal one by hash, in groups that hold all equals together, each within the size."""
-    data = np.frombuffer(b"".join(x for *_, x in parts), np.uint8)
-    size = np.array([len(x) for *_, x in parts], np.int64)
-    part, offset = _windows(size, length)
-    at = (np.cumsum(size) - size)[part] + offset
-    h = span_hash(prefix(data), at, at + length)
-    _, back, count = np.unique(h, return_inverse=True, return_counts=True)
-    twice = count[back] > 1
-    h, part, offset = h[twice], part[twice], offset[twice]
-    n = max(1, -(-len(h) * length // SPLIT_BYTES))
-    for k in range(n):
-        mine = np.flatnonzero(h % U64(n) == k)
-        yield [(parts[p][0], parts[p][1] + o, parts[p][2] - o, parts[p][3][o : o + length]) for p, o in zip(part[mine].tolist(), offset[mine].tolist(), strict=True)]
-
-
-def _compare(length: int):
+_COMPARED = "key long, lo long, hi long, anchor long, off long, bytes binary"
+
+
+def _compare(length: int, last: bool, array_bytes: int):
+    """Sorted contexts and windows -> spans of repeats and, unless it is the ``last`` round, windows that stay (with bytes)."""
+    names = ["key", "lo", "hi", "anchor", "off", "bytes"]
+
+    def spans(key: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+        k, lo, hi = merged(key, at, at + length)
+        none = pa.nulls(len(k), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(lo), pa.array(hi), none, none, pa.nulls(len(k), pa.binary())], names)
+
+    def stay(windows: list[tuple[Part, int]]) -> pa.RecordBatch:
+        rows = [(key, lo, lo + length, group, off, data) for (key, lo, off, data), group in windows]
+        kinds = [pa.int64()] * 5 + [pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    def firsts(windows: list[tuple[Part, int]]) -> tuple[list[tuple[Part, int]], pa.RecordBatch]:
+        windows = sorted(windows, key=lambda w: w[0][:2])  # parts of one group may follow each other
+        key, at = _repeats([w for w, _ in windows], length)
+        gone = set(zip(key.tolist(), at.tolist(), strict=True))
+        return [w for w in windows if w[0][:2] not in gone], spans(key, at)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solve(parts: list[Part], split: bool) -> Iterator[pa.RecordBatch]:
-            for some in _split(parts, length) if split else [parts]:
-                if len(some) > 1:
-                    key, at = _repeats(some, length)
-                    k, lo, hi = merged(key, at, at + length)
-                    yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(lo), pa.array(hi)], ["key", "lo", "hi"])
-
-        ready, group, held, waiting, now = [], [], 0, 0, None
+        contexts_, held, windows, now = [], 0, [], None
         for batch in batches:
-            for anchor, key, lo, off, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "key", "lo", "off", "bytes")), strict=True):
-                if anchor != now:
-                    if held > SPLIT_BYTES:
-                        yield from solve(group, True)
-                    else:
-                        ready += group
-                        waiting += held
-                    if waiting > ARRAY_BYTES:
-                        yield from solve(ready, False)
-                        ready, waiting = [], 0
-                    group, held, now = [], 0, anchor
-                group.append((key, lo, off, data))
-                held += len(data)
-        if held > SPLIT_BYTES:
-            yield from solve(group, True)
-        else:
-            ready += group
-        if ready:
-            yield from solve(ready, False)
+            columns = (batch.column(c).to_pylist() for c in ("anchor", "salt", "large", "key", "lo", "off", "bytes"))
+            for anchor, salt, large, key, lo, off, data in zip(*columns, strict=True):
+                if held > array_bytes and now != (anchor, salt):
+                    yield spans(*_repeats(contexts_, length))
+                    contexts_, held = [], 0
+                if len(windows) * length > array_bytes:
+                    left, found = firsts(windows)
+                    yield found
+                    # the group that goes on is held against its rows to come
+                    windows, ended = [w for w in left if w[1] == now[0]], [w for w in left if w[1] != now[0]]
+                    if ended and not last:
+                        yield stay(ended)
+                now = anchor, salt
+                if large:
+                    windows.append(((key, lo, off, data), anchor))
+                else:
+                    contexts_.append((key, lo, off, data))
+                    held += len(data)
+        if len(contexts_) > 1:
+            yield spans(*_repeats(contexts_, length))
+        if windows:
+            left, found = firsts(windows)
+            yield found
+            if left and not last:
+                yield stay(left)
 
     return run
 
@@ -286,26 +291,46 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     gram = min(32, max(1, length // 2))
     rows = _places(docs, length, gram).repartition("anchor").sortWithinPartitions("anchor", "ctx", "key", "lo")
     decided = stage(rows.mapInArrow(_decide, _ROWS).select("kind", "anchor", "key", "lo", "n", "off"), "contexts")
-    wanted = decided.filter(F.col("kind") == COMPETE).groupBy("key").agg(F.collect_list(F.struct("anchor", "lo", "n", "off")).alias("wanted"))
+    competing = decided.filter(F.col("kind") == COMPETE)
+    size = F.sum(F.col("n") + (length - 1))
+    large = stage(competing.groupBy("anchor").agg(size.alias("held")).filter(F.col("held") > SPLIT_BYTES).select("anchor", F.lit(True).alias("large")), "large-anchors")
+    flagged = competing.join(large, "anchor", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+    wanted = flagged.groupBy("key").agg(F.collect_list(F.struct("anchor", "lo", "n", "off", "large")).alias("wanted"))
+
+    def rows_of(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        columns = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["anchor", "salt", "large", "key", "lo", "off", "bytes"])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, texts, lists = batch.column("key").to_numpy(), batch.column("text"), batch.column("wanted").to_pylist()
-            out: tuple[list, list, list, list, list] = ([], [], [], [], [])
+            out: list[tuple] = []
             for k, text, wants in zip(key.tolist(), texts, lists, strict=True):
                 raw = text.as_buffer().to_pybytes()
                 for w in wants:
-                    out[0].append(w["anchor"])
-                    out[1].append(k)
-                    out[2].append(w["lo"])
-                    out[3].append(w["off"])
-                    out[4].append(raw[w["lo"] : w["lo"] + w["n"] + length - 1])
-            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in out[:4]), pa.array(out[4], pa.binary())], ["anchor", "key", "lo", "off", "bytes"])
-
-    bytes_ = docs.select("key", "text").join(wanted, "key").mapInArrow(fetch, "anchor long, key long, lo long, off long, bytes binary")
-    compared = bytes_.repartition("anchor").sortWithinPartitions("anchor", "key", "lo").mapInArrow(_compare(length), "key long, lo long, hi long")
+                    data = raw[w["lo"] : w["lo"] + w["n"] + length - 1]
+                    if not w["large"]:
+                        out.append((w["anchor"], 0, False, k, w["lo"], w["off"], data))
+                        continue
+                    at = np.arange(w["n"])
+                    h = span_hash(prefix(np.frombuffer(data, np.uint8), _SECOND), at, at + length)
+                    group = mix(h ^ np.int64(w["anchor"]).view(U64)).view(np.int64).tolist()
+                    salt = int(mix(np.array([k]).view(U64))[0] % U64(SALTS))
+                    out += [(g, salt, True, k, w["lo"] + o, w["off"] - o, data[o : o + length]) for o, g in enumerate(group)]
+                if len(out) > 10_000:
+                    yield rows_of(out)
+                    out = []
+            if out:
+                yield rows_of(out)
+
+    bytes_ = docs.select("key", "text").join(wanted, "key").mapInArrow(fetch, "anchor long, salt long, large boolean, key long, lo long, off long, bytes binary")
+    bytes_ = bytes_.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "key", "lo")
+    compared = stage(bytes_.mapInArrow(_compare(length, False, ARRAY_BYTES), _COMPARED), "compared")
+    again = compared.filter(F.col("bytes").isNotNull()).select("anchor", F.lit(0).cast("long").alias("salt"), F.lit(True).alias("large"), "key", "lo", "off", "bytes")
+    again = again.repartition("anchor").sortWithinPartitions("anchor", "key", "lo").mapInArrow(_compare(length, True, ARRAY_BYTES), _COMPARED)
     whole = decided.filter(F.col("kind") == WHOLE).select("key", "lo", (F.col("lo") + F.col("n") + (length - 1)).alias("hi"))
-    return whole.unionByName(stage(compared, "compared"))
+    return whole.unionByName(compared.filter(F.col("bytes").isNull()).select("key", "lo", "hi")).unionByName(again.select("key", "lo", "hi"))
 
 
 def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
