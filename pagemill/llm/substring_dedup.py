@@ -5,9 +5,10 @@ further left) goes; strings are judged on the input.
 
 1. Every window of ``length`` bytes has an anchor, its smallest hash of ``gram`` bytes (the leftmost of equals). Windows
    in a row with one anchor, and the bytes they cover, are a context. Equal windows have equal anchors at equal places.
-2. Rows (anchor hash, context hash, document, place) go to the anchor's task; before that, a task keeps of equal
+2. Rows (anchor hash, context hash, document, place) go to the context's task; before that, a task keeps of equal
    contexts only the first, so that a passage that everybody quotes arrives once a block of input. There, sorted, a
-   context that occurred before is repeated as a whole. Where an anchor has one context nothing is left to decide.
+   context that occurred before is repeated as a whole. At most one row for each such task then goes to the anchor's
+   task and tells whether it has contexts elsewhere. Where it has one context nothing is left to decide.
 3. Anchors whose first occurrences differ in context need a comparison of windows: the contexts' bytes meet in a task, a
    suffix array is built over them in blocks of eight counted from the anchor (``suffix_array``: linear grouping by
    Lyndon prefixes), neighbours in it tell which windows have equal cores, and windows with equal cores and edges are
@@ -21,7 +22,7 @@ that share a doc_id, or have none, are documents of their own, ordered by doc_id
 text, then the text; of equal texts the first keeps its bytes; other columns are ignored; an empty table gives no rows.
 
 Scale: the text is read three times and shuffled twice (by doc_id, for steps 3 and 4); a row of about 40 bytes for each 35
-bytes of text is shuffled once. Contexts, not documents, are compared, so no cluster of copies meets in one task.
+bytes of text is shuffled twice. Contexts, not documents, are compared, so no cluster of copies meets in one task.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from pagemill.llm.textvec import BYTES, U64, Block, blocks, mix, prefix, span_ha
 #: Bytes under one suffix array, where groups are small; the most of one group; tasks that may share one window's rows.
 ARRAY_BYTES, SPLIT_BYTES, SALTS = 1 << 19, 8_000_000, 1024
 _SECOND = mix(BYTES) | U64(1)
-FIRST, WHOLE, COMPETE = 0, 1, 2
+FIRST, WHOLE, COMPETE, LONE, OTHERS = 0, 1, 2, 3, 4
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -134,7 +135,10 @@ def _places(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows -> WHOLE rows and, for anchors with several contexts, their first occurrences as COMPETE."""
+    """Sorted rows, all of a context in one task -> WHOLE rows and first occurrences of contexts.
+
+    Those are COMPETE where their anchor has several contexts in the task, with one row OTHERS that says so, else LONE.
+    """
     last, held, held_before = None, None, False
     for batch in batches:
         kind, anchor, ctx, key, lo, n, off = (batch.column(c).to_numpy() for c in _NAMES)
@@ -160,9 +164,34 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several = (before | after)[:-1]
         if several.any():
             yield _row_batch(COMPETE, *(x[:-1][several] for x in first))
+        opens = (~before & after)[:-1]
+        if opens.any():
+            yield _row_batch(OTHERS, *(x[:-1][opens] for x in first))
+        lone = ~several
+        if lone.any():
+            yield _row_batch(LONE, *(x[:-1][lone] for x in first))
         held, held_before = [x[-1:] for x in first], bool(before[-1])
-    if held is not None and held_before:
-        yield _row_batch(COMPETE, *held)
+    if held is not None:
+        yield _row_batch(COMPETE if held_before else LONE, *held)
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """LONE and OTHERS rows sorted by anchor, at most one a task of ``_decide`` -> COMPETE, where an anchor has several."""
+    held, held_before = None, False
+    for batch in batches:
+        rows = [batch.column(c).to_numpy() for c in _NAMES]
+        if held is not None:
+            rows = [np.append(h, x) for h, x in zip(held, rows, strict=True)]
+        if not len(rows[0]):
+            continue
+        same = rows[1][1:] == rows[1][:-1]
+        before = np.append(held_before, same)
+        wanted = (before[:-1] | same) & (rows[0][:-1] == LONE)
+        if wanted.any():
+            yield _row_batch(COMPETE, *(x[:-1][wanted] for x in rows[1:]))
+        held, held_before = [x[-1:] for x in rows], bool(before[-1])
+    if held is not None and held_before and held[0][0] == LONE:
+        yield _row_batch(COMPETE, *held[1:])
 
 
 #: key, place in the document, distance of the anchor, bytes
@@ -289,8 +318,10 @@ def _compare(length: int, last: bool, array_bytes: int):
 def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     """Of ``keyed`` documents: key, lo, hi (bytes) of repeats; spans may overlap."""
     gram = min(32, max(1, length // 2))
-    rows = _places(docs, length, gram).repartition("anchor").sortWithinPartitions("anchor", "ctx", "key", "lo")
-    decided = stage(rows.mapInArrow(_decide, _ROWS).select("kind", "anchor", "key", "lo", "n", "off"), "contexts")
+    rows = _places(docs, length, gram).repartition("anchor", "ctx").sortWithinPartitions("anchor", "ctx", "key", "lo")
+    known = rows.mapInArrow(_decide, _ROWS)
+    met = known.filter(F.col("kind") >= LONE).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_meet, _ROWS)
+    decided = stage(known.filter(F.col("kind") < LONE).unionByName(met).select("kind", "anchor", "key", "lo", "n", "off"), "contexts")
     competing = decided.filter(F.col("kind") == COMPETE)
     size = F.sum(F.col("n") + (length - 1))
     large = stage(competing.groupBy("anchor").agg(size.alias("held")).filter(F.col("held") > SPLIT_BYTES).select("anchor", F.lit(True).alias("large")), "large-anchors")
