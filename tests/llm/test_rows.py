@@ -121,6 +121,28 @@ def test_rules(spark, labelled, odd_docs, odd_rows, no_docs):
     assert ngram_ratio.judged(no_docs, labels).collect() == []
 
 
+
+@pytest.mark.parametrize("n", [200, 4000])
+def test_rules_separate_at_two_sizes(spark, n):
+    """Junk of words that trusted text does not have stays out, and text like it in, however many distinct n-grams there are."""
+    r = random.Random(n)
+    good = [(i, words(r, 120, 20 * n)) for i in range(n)]
+    bad = [(n + i, " ".join(f"x{r.randrange(8 * n // 10)}" for _ in range(120))) for i in range(n // 10)]
+    labels = spark.createDataFrame([(d, 1, 0) for d, _ in good if d % 2] + [(d, 0, 0) for d, _ in bad], "doc_id long, quality int, toxic int")
+    docs = make_docs(spark, good + bad)
+    rows = ngram_ratio.judged(docs, labels).collect()
+    assert sum(x["kept"] for x in rows if x["doc_id"] < n) > 0.97 * n
+    assert not any(x["kept"] for x in rows if x["doc_id"] >= n)
+
+
+def test_rules_without_an_array(spark, labelled, odd_docs):
+    docs, labels = labelled
+    for d in (docs, odd_docs.select(docs.columns)):
+        a, b = (sorted(ngram_ratio.judged(d, labels, dense=k).collect(), key=repr) for k in (ngram_ratio.DENSE, 0))
+        assert [[*x][:6] + [x["kept"]] for x in a] == [[*x][:6] + [x["kept"]] for x in b]
+        assert [x["ratio"] for x in a] == pytest.approx([x["ratio"] for x in b], abs=1e-5)
+
+
 KINDS = ("email", "ip", "card", "phone")
 RULES = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
 
