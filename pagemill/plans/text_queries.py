@@ -201,6 +201,13 @@ def similar_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.similar_pairs(u, 0.01)
 
 
+@query()
+def near_dup_trigram_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forty most similar pairs of documents by shared three-word grams, from 0.4 on; a top-k report."""
+    u = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.array_distinct(analytics.ngrams(analytics.words_of(F.col("text")), 3)).alias("grams"))
+    return analytics.similar_sets(u, 0.4)
+
+
 @query("SELECT doc_id, lang FROM documents ANTI JOIN labels USING (doc_id)")
 def incremental_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")

@@ -140,3 +140,37 @@ def test_command_line(spark, tmp_path):
     assert b.count() == 12 and {r["kind"] for r in b.collect()} == {"heading", "paragraph", "list_item"}
     parts = [parsed(spark, str(tmp_path / "in"), (k, 2)).count() for k in range(2)]
     assert sum(parts) == 12
+
+
+def _similar(units, threshold, rows):
+    sets = {i: {tuple(g) for g in gs} for i, gs in units}
+    j = lambda a, b: len(a & b) / len(a | b)
+    found = [(i, k, j(sets[i], sets[k])) for i in sets for k in sets if i < k and sets[i] and sets[k]]
+    return sorted((x for x in found if x[2] >= threshold), key=lambda x: (-x[2], x[0], x[1]))[:rows]
+
+
+def test_similar_sets(spark):
+    import random
+
+    r = random.Random(3)
+    base = [[[str(x)] for x in r.sample(range(400), r.randrange(10, 60))] for _ in range(12)]
+    units = [(i, [["common"], *(g for g in base[i % 12] if r.random() > 0.15 * (i % 4))]) for i in range(80)] + [(90, []), (91, [])]
+    df = spark.createDataFrame(units, "id long, grams array<array<string>>")
+    for t in (0.3, 0.5, 0.8):
+        for rows in (5, 40, 5000):
+            got = [(x["id"], x["id_b"], x["jaccard"]) for x in analytics.similar_sets(df, t, rows).collect()]
+            assert got == _similar(units, t, rows)
+
+
+def test_similar_documents(spark):
+    import re
+
+    from pagemill.plans import text_queries
+
+    sf = "/root/testdata/sf0.001"
+    units = []
+    for d in text_queries.table(spark, sf, "documents").collect():
+        w = re.findall(r"\w+", d["text"].lower())
+        units.append((d["doc_id"], list(zip(w, w[1:], w[2:]))))
+    got = [(x["id"], x["id_b"], round(x["jaccard"], 9)) for x in text_queries.near_dup_trigram_pairs(spark, sf).collect()]
+    assert got and got == [(a, b, round(j, 9)) for a, b, j in _similar(units, 0.4, 40)]
