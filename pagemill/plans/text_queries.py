@@ -278,10 +278,19 @@ def best_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("b.doc_id", F.concat(F.lit("["), "number", F.lit("]")).alias("label"), "b.text")
 
 
+@query("""WITH e AS (SELECT source, doc_id, (row_number() OVER (PARTITION BY source ORDER BY doc_id) % 9)::VARCHAR AS number, text FROM documents)
+SELECT source, number, text FROM e QUALIFY row_number() OVER (PARTITION BY source, number ORDER BY length(text) DESC, doc_id) = 1""")
+def best_whole_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``best_references``, with a document's whole text as the entry."""
+    n = (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) % 9).cast("string")
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("doc_id"), n.alias("number"), F.col("doc_id").alias("seq"), "text")
+    return references.best_entries(d).withColumnRenamed("doc_id", "source")
+
+
 @query()
 def bibliographies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with a made-up bibliography of their first lines."""
-    d = documents.text_blocks(table(spark, sf_dir, "documents")).filter(F.col("seq") < 6)
+    """Documents with a made-up bibliography of all their lines."""
+    d = documents.text_blocks(table(spark, sf_dir, "documents"))
     body = d.select("doc_id", "seq", F.lit("paragraph").alias("kind"), F.concat(F.lit("["), (F.col("seq") + 1).cast("string"), F.lit("] "), "text").alias("text"))
     head = d.select("doc_id").distinct().select("doc_id", F.lit(-1).alias("seq"), F.lit("heading").alias("kind"), F.lit("References").alias("text"))
     r = references.extract(body.unionByName(head))

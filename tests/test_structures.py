@@ -142,6 +142,19 @@ def test_command_line(spark, tmp_path):
     assert sum(parts) == 12
 
 
+def test_bibliographies_are_whole(spark):
+    from pagemill.plans import text_queries
+
+    sf = "/root/testdata/sf0.001"
+    blocks = documents.text_blocks(text_queries.table(spark, sf, "documents")).collect()
+    got = {(r["doc_id"], r["label"]): r["chars"] for r in text_queries.bibliographies(spark, sf).collect()}
+    assert {k[0] for k in got} == {b["doc_id"] for b in blocks}
+    assert max(b["seq"] for b in blocks) >= 6
+    for b in blocks:
+        if b["seq"] < 9999:  # a label has four digits at most
+            assert (b["doc_id"], f"[{b['seq'] + 1}]") in got
+
+
 def _similar(units, threshold, rows):
     sets = {i: {tuple(g) for g in gs} for i, gs in units}
     j = lambda a, b: len(a & b) / len(a | b)
