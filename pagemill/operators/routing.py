@@ -97,11 +97,19 @@ def majority_tier(pages: DataFrame) -> DataFrame:
     return pages.groupBy("doc_id").agg(F.when(share("ocr") >= 0.5, "ocr").when(share("table") >= 0.5, "table").otherwise("native").alias("route"))
 
 
-def reasons(signals: DataFrame) -> DataFrame:
-    """The first eight positive signals of a document, in the detectors' order."""
-    told = F.when((F.col("status") == "ok") & (F.col("value") > 0), F.concat(F.col("name"), F.lit("="), F.bround("value", 3).cast("string")))
-    kept = F.array_sort(F.collect_list(F.when(told.isNotNull(), F.struct("place", told.alias("t")))))
-    return signals.groupBy("doc_id").agg(F.slice(F.transform(kept, lambda x: x.t), 1, 8).alias("reasons"))
+def reasons(signals: DataFrame, weights: DataFrame) -> DataFrame:
+    """What a document's weighted signals say, the first eight in the detectors' order.
+
+    Of a name the first row counts: strong evidence is told with its value, a missing or failed one as not measured.
+    Names without a positive weight are not told. signals(doc_id, place, name, value, status)
+    """
+    told = F.when(is_strong(F.col("status"), F.col("value")), F.concat(F.lit("high "), "name", F.lit(" ("), F.format_string("%.2f", F.col("value").cast("double")), F.lit(")")))
+    told = told.when(F.col("status").isin("missing", "failed"), F.concat("name", F.lit(" not measured ("), "status", F.lit(")")))
+    positive = F.broadcast(weights.filter(F.col("weight") > 0).select("name", F.lit(True).alias("_weighted")))
+    row = F.struct("place", told.alias("t"))
+    per = signals.join(positive, "name", "left").groupBy("doc_id", "name").agg(F.min(F.when(F.col("_weighted"), row)).alias("r"))
+    kept = F.array_sort(F.collect_list(F.when(F.col("r.t").isNotNull(), F.col("r"))))
+    return per.groupBy("doc_id").agg(F.slice(F.transform(kept, lambda x: x.t), 1, 8).alias("reasons"))
 
 
 def _signal(name: str, value: Column, applies: Column | None = None, known: Column | None = None) -> Column:

@@ -174,7 +174,7 @@ def route_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def route_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return routing.reasons(_signals(spark, sf_dir))
+    return routing.reasons(_signals(spark, sf_dir), routing.weights_table(spark))
 
 
 @query("""SELECT o_orderkey AS doc_id, name, CASE WHEN name = 'metric_table_probability' THEN round_even(least(1.0, t / 3), 3) WHEN name = 'metric_low_text_ratio' THEN round_even(low / n, 3) ELSE round_even(least(1.0, most / 40), 3) END AS value

@@ -142,6 +142,19 @@ def test_command_line(spark, tmp_path):
     assert sum(parts) == 12
 
 
+def test_reasons(spark):
+    rows = [
+        (1, 0, "metric_other", 0.9, "ok"), (1, 1, "metric_ocr_required", 0.6, "ok"), (1, 2, "metric_ocr_required", 0.9, "ok"), (1, 3, "metric_form_probability", 0.4, "ok"),
+        (1, 4, "metric_table_probability", None, "missing"), (1, 5, "metric_font_diversity", None, "failed"), (1, 6, "metric_image_density", None, "not_applicable"), (1, 7, "metric_form_probability", 0.9, "ok"), (2, 0, "metric_other", 1.0, "ok"),
+        *[(3, i, name, 1.0, "ok") for i, name in enumerate(n for name in routing.WEIGHTS for n in (name, name))],
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, place long, name string, value double, status string")
+    got = {r["doc_id"]: r["reasons"] for r in routing.reasons(df, routing.weights_table(spark)).collect()}
+    assert got[1] == ["high metric_ocr_required (0.60)", "metric_table_probability not measured (missing)", "metric_font_diversity not measured (failed)"]
+    assert got[2] == []
+    assert got[3] == [f"high {n} (1.00)" for n in list(routing.WEIGHTS)[:8]]
+
+
 def test_bibliographies_are_whole(spark):
     from pagemill.plans import text_queries
 
