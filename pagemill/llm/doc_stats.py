@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from pagemill.llm.textvec import U64, Block, Words, mix, prefix, runs, shingles, span_hash, word_hashes, words
+from pagemill.llm.textvec import U64, Block, Words, mix, runs, shingles, span_hash, word_hashes, words
 
 LOWER, UPPER, DIGIT, STOP, BANG, SYMBOL, BAR, LINE, BLANK, INNER, LEAD, PUNCT = range(12)
 _CLASS = np.full(256, PUNCT, np.uint8)
@@ -56,7 +56,7 @@ def lines(b: Block, w: Words) -> tuple[np.ndarray, np.ndarray]:
     start, end = start[full], end[full]
     first, last = np.searchsorted(start, b.starts), np.searchsorted(start, b.ends)
     owner = owner_of(first, last)
-    _, one, count = repeated(keyed(span_hash(prefix(b.buf), start, end), owner))
+    _, one, count = repeated(keyed(span_hash(b.buf, start, end), owner))
     return last - first, np.bincount(owner[one], count - 1, len(b.starts)).astype(np.int64)
 
 

@@ -14,7 +14,7 @@ import os
 import numpy as np
 import regex
 
-from pagemill.llm.textvec import Block, prefix, span_hash
+from pagemill.llm.textvec import Block, span_hash, windows
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 _lut: list[np.ndarray] = []
@@ -93,14 +93,45 @@ def starts(b: Block) -> np.ndarray:
     return np.flatnonzero(mark)
 
 
-class Pieces:
-    """Ids of distinct pre-tokens, encoded once each while a worker lives.
+def distinct(b: Block, at: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The block's distinct pre-tokens, and which of them each one is.
 
-    At most ``limit`` pre-tokens are held; beyond, all are forgotten and encoded anew as they come, which costs
-    time but changes no result. Texts that contain a special token go whole to the library, which decides.
+    They are grouped by 64-bit hashes, and every member is then held against its group's first, byte by byte: a group
+    of unequal ones, should it ever occur, is told apart by its bytes.
     """
+    end = np.append(at[1:], len(b.buf))
+    _, first, back = np.unique(span_hash(b.buf, at, end), return_index=True, return_inverse=True)
+    raw = b.buf.tobytes()
+    keys = [raw[s:e] for s, e in zip(at[first].tolist(), end[first].tolist(), strict=True)]
+    odd = unequal(b.buf, at, end, first[back])
+    if odd.size:
+        seen = {x: i for i, x in enumerate(keys)}
+        for i in odd.tolist():
+            back[i] = seen.setdefault(raw[at[i] : end[i]], len(seen))
+        keys = list(seen)
+    return keys, back
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+
+def unequal(buf: np.ndarray, start: np.ndarray, end: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Which spans differ in bytes from the span whose index ``like`` gives."""
+    size = end - start
+    differs = size != size[like]
+    # spans of one length of up to eight bytes have unequal hashes unless they are equal
+    live = np.flatnonzero((size > 8) & (like != np.arange(len(like))) & ~differs)
+    view, done = windows(buf), 0
+    while live.size:
+        # the last eight bytes again where fewer are left
+        back = np.minimum(done, size[live] - 8)
+        differs[live] |= view[start[live] + back] != view[start[like[live]] + back]
+        done += 8
+        live = live[(size[live] > done) & ~differs[live]]
+    return np.flatnonzero(differs)
+
+
+class Bpe:
+    """A byte-level BPE from a file of the tokenizers library, applied to single pre-tokens or to whole texts."""
+
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -118,22 +149,80 @@ class Pieces:
         self.plain.no_padding()
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.id_type = np.uint16 if self.whole.get_vocab_size() <= 1 << 16 else np.uint32
-        self.limit = limit
+
+    def encode(self, keys: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """How many pieces each pre-token has, and all their ids."""
+        got = self.plain.encode([k.decode() for k in keys], is_pretokenized=True, add_special_tokens=False)
+        return np.bincount(np.array(got.word_ids, np.int64), minlength=len(keys)), got.ids
+
+    def special_rows(self, b: Block) -> list[int]:
+        """Documents with a special token inside: they go whole to the library, which decides."""
+        raw = b.buf.tobytes()
+        if not any(x in raw for x in self.special):
+            return []
+        return [i for i, (s, e) in enumerate(zip(b.starts.tolist(), b.ends.tolist(), strict=True)) if any(x in raw[s:e] for x in self.special)]
+
+    def by_library(self, b: Block, row: int) -> list[int]:
+        return self.whole.encode(b.buf[b.starts[row] : b.ends[row]].tobytes().decode(), add_special_tokens=False).ids
+
+
+ROUND = 20_000
+
+
+class PieceCounts:
+    """How many pieces a pre-token has, counted once for each distinct one; no ids are kept.
+
+    At most ``limit`` pre-tokens are held; beyond, all are forgotten and counted anew as they come, which costs time but
+    changes no result.
+    """
+
+    def __init__(self, path: str, limit: int = 1_000_000):
+        self.bpe, self.limit = Bpe(path), limit
+        self.known: dict[bytes, int] = {}
+
+    def of(self, keys: list[bytes]) -> np.ndarray:
+        if len(self.known) + len(keys) > max(self.limit, len(keys)):
+            self.known = {}
+        new = [k for k in keys if k not in self.known]
+        for lo in range(0, len(new), ROUND):
+            part = new[lo : lo + ROUND]
+            self.known.update(zip(part, self.bpe.encode(part)[0].tolist(), strict=True))
+        return np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+
+    def counts(self, b: Block) -> np.ndarray:
+        """Tokens of each document: its pre-token frequencies, joined to the pieces of each pre-token, summed."""
+        at = starts(b)
+        if not len(at):
+            return np.zeros(len(b.starts), np.int64)
+        keys, which = distinct(b, at)
+        doc = np.searchsorted(b.starts, at, "right") - 1
+        # the frequency table: one row for each (document, pre-token), with how often it occurs there
+        pair, often = np.unique(doc * len(keys) + which, return_counts=True)
+        out = np.bincount(pair // len(keys), often * self.of(keys)[pair % len(keys)], len(b.starts)).astype(np.int64)
+        for i in self.bpe.special_rows(b):
+            out[i] = len(self.bpe.by_library(b, i))
+        return out
+
+
+class Pieces:
+    """Ids of distinct pre-tokens, encoded once each while a worker lives, under a bound like that of ``PieceCounts``."""
+
+    def __init__(self, path: str, limit: int = 1_000_000):
+        self.bpe, self.limit = Bpe(path), limit
+        self.id_type = self.bpe.id_type
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[int, int] = {}
+        self.index: dict[bytes, int] = {}
         self.at = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int32)
         self.ids = np.zeros(1 << 18, self.id_type)
         self.used = 0
 
-    def learn(self, keys: list[int], pieces: list[str]) -> None:
-        for lo in range(0, len(pieces), 20_000):
-            part = pieces[lo : lo + 20_000]
-            got = self.plain.encode(part, is_pretokenized=True, add_special_tokens=False)
-            size = np.bincount(np.array(got.word_ids, np.int64), minlength=len(part))
-            ids = np.array(got.ids, self.id_type)
+    def learn(self, keys: list[bytes]) -> None:
+        for lo in range(0, len(keys), ROUND):
+            part = keys[lo : lo + ROUND]
+            size, ids = self.bpe.encode(part)
             k = len(self.index)
             while k + len(part) > len(self.at):
                 self.at, self.size = np.resize(self.at, 2 * len(self.at)), np.resize(self.size, 2 * len(self.size))
@@ -143,46 +232,15 @@ class Pieces:
             self.size[k : k + len(part)] = size
             self.ids[self.used : self.used + len(ids)] = ids
             self.used += len(ids)
-            self.index.update(zip(keys[lo : lo + 20_000], range(k, k + len(part)), strict=True))
+            self.index.update(zip(part, range(k, k + len(part)), strict=True))
 
     def find(self, b: Block, at: np.ndarray) -> np.ndarray:
         """The number under which each pre-token's ids are held."""
-        end = np.append(at[1:], len(b.buf))
-        hashed = span_hash(prefix(b.buf), at, end)
-        distinct, first, back = np.unique(hashed, return_index=True, return_inverse=True)
-        if len(self.index) + len(distinct) > max(self.limit, len(distinct)):
+        keys, which = distinct(b, at)
+        if len(self.index) + len(keys) > max(self.limit, len(keys)):
             self.forget()
-        keys = distinct.tolist()
-        found = list(map(self.index.get, keys))
-        new = [i for i, x in enumerate(found) if x is None]
-        if new:
-            raw = b.buf.tobytes()
-            f = first[new]
-            self.learn([keys[i] for i in new], [raw[s:e].decode() for s, e in zip(at[f].tolist(), end[f].tolist(), strict=True)])
-            for i in new:
-                found[i] = self.index[keys[i]]
-        return np.array(found, np.int64)[back]
-
-    def special_rows(self, b: Block) -> list[int]:
-        raw = b.buf.tobytes()
-        if not any(x in raw for x in self.special):
-            return []
-        return [i for i, (s, e) in enumerate(zip(b.starts.tolist(), b.ends.tolist(), strict=True)) if any(x in raw[s:e] for x in self.special)]
-
-    def by_library(self, b: Block, row: int) -> list[int]:
-        return self.whole.encode(b.buf[b.starts[row] : b.ends[row]].tobytes().decode(), add_special_tokens=False).ids
-
-    def counts(self, b: Block) -> np.ndarray:
-        """Tokens of each document: pieces per distinct pre-token, joined to the documents' pre-tokens, summed."""
-        at = starts(b)
-        sums = np.zeros(len(at) + 1, np.int64)
-        if len(at):
-            found = self.find(b, at)  # may replace self.size
-            np.cumsum(self.size[found], out=sums[1:])
-        out = sums[np.searchsorted(at, b.ends)] - sums[np.searchsorted(at, b.starts)]
-        for i in self.special_rows(b):
-            out[i] = len(self.by_library(b, i))
-        return out
+        self.learn([k for k in keys if k not in self.index])
+        return np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))[which]
 
     def encode(self, b: Block) -> list[np.ndarray]:
         """Ids of each document."""
@@ -195,16 +253,16 @@ class Pieces:
         flat = self.ids[np.repeat(self.at[found] - sums[:-1], size) + np.arange(sums[-1])]
         lo, hi = sums[np.searchsorted(at, b.starts)].tolist(), sums[np.searchsorted(at, b.ends)].tolist()
         out = [flat[s:e] for s, e in zip(lo, hi, strict=True)]
-        for i in self.special_rows(b):
-            out[i] = np.array(self.by_library(b, i), self.id_type)
+        for i in self.bpe.special_rows(b):
+            out[i] = np.array(self.bpe.by_library(b, i), self.id_type)
         return out
 
 
-_held: dict[str, Pieces] = {}
+_held: dict[tuple[type, str], Pieces | PieceCounts] = {}
 
 
-def pieces(path: str) -> Pieces:
-    """This worker's ``Pieces``."""
-    if path not in _held:
-        _held[path] = Pieces(path)
-    return _held[path]
+def held(kind: type, path: str) -> Pieces | PieceCounts:
+    """This worker's ``Pieces`` or ``PieceCounts``."""
+    if (kind, path) not in _held:
+        _held[kind, path] = kind(path)
+    return _held[kind, path]

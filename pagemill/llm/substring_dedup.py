@@ -36,11 +36,10 @@ from pyspark.sql import functions as F
 
 from pagemill.llm.common import stage, text_of
 from pagemill.llm.suffixes import suffix_array
-from pagemill.llm.textvec import BYTES, U64, Block, blocks, mix, prefix, span_hash
+from pagemill.llm.textvec import U64, Block, blocks, gram_hash, mix, span_hash
 
 #: Bytes under one suffix array, where groups are small; the most of one group; tasks that may share one window's rows.
 ARRAY_BYTES, SPLIT_BYTES, SALTS = 1 << 19, 8_000_000, 1024
-_SECOND = mix(BYTES) | U64(1)
 FIRST, WHOLE, COMPETE, LONE, OTHERS = 0, 1, 2, 3, 4
 
 
@@ -50,7 +49,8 @@ def keyed(docs: DataFrame) -> DataFrame:
     again = t.select("doc_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.col("doc_id").isNull())
     if not again.limit(1).count():
         return t.select(F.col("doc_id").alias("key"), "doc_id", "text")
-    order = t.withColumn("_tie", F.xxhash64("text")).repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie", "text")
+    # rows that are equal altogether are told apart by their place, so that no range has to hold them all
+    order = t.withColumns({"_tie": F.xxhash64("text"), "_row": F.monotonically_increasing_id()}).repartitionByRange("doc_id", "_tie", "_row").sortWithinPartitions("doc_id", "_tie", "text", "_row")
     return stage(order.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text"), "document-keys")
 
 
@@ -68,9 +68,8 @@ def contexts(b: Block, length: int, gram: int) -> tuple[np.ndarray, ...]:
     none = np.zeros(0, np.int64)
     if n < length:
         return none.astype(U64), none.astype(U64), none, none, none, none
-    running = prefix(b.buf)
     at = np.arange(n - gram + 1)
-    h = span_hash(running, at, at + gram)
+    h = gram_hash(b.buf, gram)
     low = _sliding_min((h & U64(0xFFFFFFFF00000000)) | at.astype(U64), length - gram + 1)
     valid = np.zeros(n - length + 2, bool)  # the last is a fence
     last = b.ends - length
@@ -85,7 +84,7 @@ def contexts(b: Block, length: int, gram: int) -> tuple[np.ndarray, ...]:
     lo = np.flatnonzero(new)
     stop = np.flatnonzero(valid[:-1] & np.append(new[1:] | ~valid[1:-1], True)) + 1
     count = stop - lo
-    ctx = span_hash(prefix(b.buf, _SECOND), lo, lo + count + length - 1)
+    ctx = span_hash(b.buf, lo, lo + count + length - 1)
     row = np.searchsorted(b.starts, lo, "right") - 1
     # of documents that start at one place (empty ones before it), the last has the bytes
     return h[anchor[lo]], ctx, row, lo - b.starts[row], count, anchor[lo] - lo
@@ -345,7 +344,7 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
                         out.append((w["anchor"], 0, False, k, w["lo"], w["off"], data))
                         continue
                     at = np.arange(w["n"])
-                    h = span_hash(prefix(np.frombuffer(data, np.uint8), _SECOND), at, at + length)
+                    h = span_hash(np.frombuffer(data, np.uint8), at, at + length)
                     group = mix(h ^ np.int64(w["anchor"]).view(U64)).view(np.int64).tolist()
                     salt = int(mix(np.array([k]).view(U64))[0] % U64(SALTS))
                     out += [(g, salt, True, k, w["lo"] + o, w["off"] - o, data[o : o + length]) for o, g in enumerate(group)]

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 BLOCK_BYTES = 1 << 20
 U64 = np.uint64
@@ -26,26 +27,13 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
-def _table(seed: int) -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=U64) * U64(seed)) | U64(1)
-
-
-_BASE = 0x9E3779B97F4A7C15
-BYTES = _table(0xD6E8FEB86659FD93)
-#: The same with A-Z as a-z.
-FOLDED = BYTES.copy()
-FOLDED[65:91] = BYTES[97:123]
-_powers = [np.ones(1, U64), np.ones(1, U64)]
-
-
-def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n + 1:
-        size = max(n + 1, BLOCK_BYTES + 4096)
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            p = np.full(size, base, U64)
-            p[0] = 1
-            _powers[k] = np.multiply.accumulate(p)
-    return _powers[0], _powers[1]
+#: A-Z as a-z, every other byte as it is.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: Longest span that is hashed in step with the others; a longer one is hashed by itself.
+LONG = 256
+_STEP = U64(0x9E3779B97F4A7C15)
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 
 
 @dataclass
@@ -79,19 +67,46 @@ def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[Block]:
         lo = hi
 
 
-def prefix(buf: np.ndarray, table: np.ndarray = BYTES) -> np.ndarray:
-    """Running polynomial hash; ``span_hash`` takes any span's hash from it."""
-    power, _ = _powers_to(len(buf))
-    out = np.zeros(len(buf) + 1, U64)
+def windows(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as an integer; zeros follow the end."""
+    return np.ndarray(len(buf) + 1, "<u8", np.concatenate((buf, np.zeros(8, np.uint8))), strides=(1,))
+
+
+def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64 bits for each span, of its bytes alone: its length, then eight bytes at a time, each mixed into all bits.
+
+    Spans of one length of up to eight bytes never collide; others with a chance of 2 ** -64 a pair, whatever they repeat.
+    """
+    size = end - start
     with np.errstate(over="ignore"):
-        np.cumsum(table[buf] * power[: len(buf)], out=out[1:])
+        out = mix(size.astype(U64) * _STEP)
+        view, at, left, live = windows(buf), start, size, None
+        for done in range(0, LONG, 8):
+            if done:
+                live = np.flatnonzero((size > done) & (size <= LONG)) if live is None else live[left > 8]
+                if not live.size:
+                    break
+                at, left = start[live] + done, size[live] - done
+            part = view[at] & _MASKS[np.clip(left, 0, 8)]
+            if live is None:
+                out = mix((out ^ part) + _STEP)
+            else:
+                out[live] = mix((out[live] ^ part) + _STEP)
+    long = np.flatnonzero(size > LONG)
+    if long.size:
+        raw = memoryview(np.ascontiguousarray(buf))
+        out[long] = [xxhash.xxh3_64_intdigest(raw[s:e]) for s, e in zip(start[long].tolist(), end[long].tolist(), strict=True)]
     return out
 
 
-def span_hash(running: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    _, inverse = _powers_to(len(running))
+def gram_hash(buf: np.ndarray, gram: int) -> np.ndarray:
+    """A cheap hash of the ``gram`` bytes at each place that has so many; to choose by, not to compare by."""
+    view, n = windows(buf), len(buf) - gram + 1
+    out = np.zeros(n, U64)
     with np.errstate(over="ignore"):
-        return mix((running[end] - running[start]) * inverse[start] + (end - start).astype(U64) * U64(0xA24BAED4963EE407))
+        for k, weight in zip(range(0, gram, 8), _weights(-(-gram // 8)), strict=True):
+            out += (view[k : k + n] & _MASKS[min(8, gram - k)]) * weight
+        return mix(out)
 
 
 def runs(inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +134,7 @@ def words(b: Block) -> Words:
 
 
 def word_hashes(b: Block, w: Words, fold: bool) -> np.ndarray:
-    return span_hash(prefix(b.buf, FOLDED if fold else BYTES), w.start, w.end)
+    return span_hash(LOWER[b.buf] if fold else b.buf, w.start, w.end)
 
 
 def _weights(k: int) -> np.ndarray:

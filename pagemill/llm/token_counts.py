@@ -1,4 +1,7 @@
-"""Token counts without token ids: pieces per distinct pre-token, times how often each document has it.
+"""Token counts without token ids: pieces per distinct pre-token, joined to the documents' pre-token frequencies, summed.
+
+Texts are taken in blocks of about a megabyte. A block's distinct pre-tokens are grouped (and compared by their bytes), each
+is counted once, and the table (document, pre-token, frequency) is joined to those counts and summed by document.
 
 Defined results: a null text counts as the empty text (0 bytes, 0 tokens); a null doc_id is returned as null;
 repeated rows are counted each; other columns are ignored.
@@ -17,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import text_of
-from pagemill.llm.pretokens import pieces
+from pagemill.llm.pretokens import PieceCounts, held
 from pagemill.llm.textvec import blocks
 
 
@@ -25,7 +28,7 @@ def token_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, n_bytes and n_tokens of every document, by the byte-level BPE in the file ``tokenizer``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pieces(tokenizer)
+        known = held(PieceCounts, tokenizer)
         for batch in batches:
             tokens = [known.counts(b) for b in blocks(batch.column("text"))]
             n_bytes = [b.ends - b.starts for b in blocks(batch.column("text"))]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import scratch, stage, text_of
-from pagemill.llm.pretokens import pieces
+from pagemill.llm.pretokens import Pieces, held
 from pagemill.llm.textvec import blocks
 
 INDEX_MAGIC, SEEK_MAGIC, SEEK_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -146,7 +146,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int | Non
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, known, out, path = TaskContext.get().partitionId(), pieces(tokenizer), None, ""
+        part, known, out, path = TaskContext.get().partitionId(), held(Pieces, tokenizer), None, ""
         tail = [] if end_id is None else [end_id]
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
@@ -162,7 +162,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int | Non
 
     base, path = _opened(folder)
     base.create_dir(path, recursive=True)
-    ordered = text_of(docs).withColumn("_tie", F.xxhash64("text")).repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie", "text")
+    # rows that are equal altogether are told apart by their place, so that no range has to hold them all
+    ordered = text_of(docs).withColumns({"_tie": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
+    ordered = ordered.repartitionByRange("doc_id", "_tie", "_row").sortWithinPartitions("doc_id", "_tie", "text", "_row")
     return stage(ordered.select("doc_id", "text").mapInArrow(write, MANIFEST), "token-manifest")
 
 
