@@ -60,6 +60,17 @@ def text_of(df: DataFrame, *more: str) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have, whatever it has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def null_key(column: Column) -> Column:
     """A string that is equal just where ``column`` is, nulls included."""
     return F.when(column.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), column.cast("string")))
