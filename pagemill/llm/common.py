@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,12 +21,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; only where it is unset (tests), one of our own."""
+    """The folder that ``spark.checkpoint.dir`` names. Where it is unset, a local session gets a folder of its own that is
+    deleted at its end; a cluster, whose executors could not see one another's folders, gets an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="pagemill-"))
+        atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
     return f"file://{_own[0]}"
 
 

@@ -12,25 +12,29 @@ its whole sequence, which is sought as that sequence; null texts and items witho
 item_id or a text are each reported; a null doc_id or item_id is reported as null; repeated documents are reported
 each; other columns are ignored, in ``drop_leaks`` passed through whatever their names.
 
-Scale: documents are read once per block of ``BLOCK_ITEMS`` items and never shuffled; a block's hashes, bounded by it, go to
-the executors with the task. Any number of items is a number of blocks.
+Scale: items are sketched by tasks and packed into block files of at most ``BLOCK_ITEMS`` items or ``BLOCK_BYTES`` of hashes
+in the shared folder; the driver sees one manifest row for each. Documents are read once and never shuffled: a worker holds
+its batch against one block after another and keeps the blocks it read last, up to ``HELD_BYTES``.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import pickle
+import uuid
+from collections import OrderedDict, defaultdict
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import text_of
+from pagemill.llm.common import scratch, stage, text_of
 from pagemill.llm.textvec import U64, Block, blocks, shingles, word_hashes, words
 
-SKETCH, LEAST, BLOCK_ITEMS = 16, 4, 20_000
+SKETCH, LEAST = 16, 4
+#: Most items and bytes of hashes in a block file, and bytes of blocks that a worker keeps.
+BLOCK_ITEMS, BLOCK_BYTES, HELD_BYTES = 20_000, 32 << 20, 256 << 20
 
 
 def _sets(b: Block, width: int) -> Iterator[np.ndarray]:
@@ -97,51 +101,95 @@ class Items:
                         yield b.row + d, k, shared, shared / len(self.sets[k])
 
 
-def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str | None]]]:
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator()
-    while block := [(r["item_id"], r["text"]) for r in islice(rows, BLOCK_ITEMS)]:
-        yield block
+def item_blocks(benchmark: DataFrame, width: int) -> list[str]:
+    """Files of packed ``Items``, written by the tasks that read the items."""
+    spark = benchmark.sparkSession
+    items = stage(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text"), "items")
+    size = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    parts = max(1, -(-size["n"] // BLOCK_ITEMS), -(-(size["bytes"] or 0) // BLOCK_BYTES))
+    folder = scratch(spark, "item-blocks")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        held: list[tuple[int | None, str | None]] = []
+
+        def out() -> pa.RecordBatch:
+            items = Items(held, width)
+            where, path = fs.FileSystem.from_uri(f"{folder}/{uuid.uuid4().hex}")
+            where.create_dir(path.rpartition("/")[0], recursive=True)
+            with where.open_output_stream(path) as f:
+                f.write(pickle.dumps(items))
+            held.clear()
+            return pa.RecordBatch.from_pylist([{"name": path.rpartition("/")[2]}])
+
+        room = 0
+        for batch in batches:
+            for row in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if held and (len(held) >= BLOCK_ITEMS or room + len(row[1] or "") > BLOCK_BYTES):
+                    yield out()
+                    room = 0
+                held.append(row)
+                room += len(row[1] or "")
+        if held:
+            yield out()
+
+    # a block has items from anywhere, so that equal ones do not crowd in one
+    names = stage(items.repartition(parts).mapInArrow(pack, "name string"), "item-manifest").collect()
+    return [f"{folder}/{r['name']}" for r in names]
+
+
+_held: OrderedDict[str, tuple[Items, int]] = OrderedDict()
+
+
+def _block(uri: str) -> Items:
+    """A block file, from this worker's memory where it is held."""
+    if uri not in _held:
+        from pyarrow import fs
+
+        where, path = fs.FileSystem.from_uri(uri)
+        with where.open_input_stream(path) as f:
+            raw = f.read()
+        while _held and sum(n for _, n in _held.values()) + len(raw) > HELD_BYTES:
+            _held.popitem(last=False)
+        _held[uri] = pickle.loads(raw), len(raw)
+    _held.move_to_end(uri)
+    return _held[uri][0]
+
+
+def _search(column: pa.Array, blocks_of_items: list[str], threshold: float) -> Iterator[tuple[int, Items, int, int, float]]:
+    for uri in blocks_of_items:
+        items = _block(uri)
+        for b in blocks(column):
+            for width in items.widths():
+                for r, *found in items.search(b, width, threshold):
+                    yield r, items, *found
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.8, width: int = 5) -> DataFrame:
     """doc_id, item_id, n_item (shingles), n_shared, containment of each pair at the threshold."""
-    schema = "doc_id long, item_id long, n_item long, n_shared long, containment double"
-    found = None
-    for rows in _item_blocks(benchmark):
-        items = Items(rows, width)
-
-        def search(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids = batch.column("doc_id").to_pylist()
-                out = [
-                    (ids[r], items.ids[k], len(items.sets[k]), n, c)
-                    for b in blocks(batch.column("text"))
-                    for width_ in items.widths()
-                    for r, k, n, c in items.search(b, width_, threshold)
-                ]
-                columns = list(zip(*out, strict=True)) or [()] * 5
-                kinds = [pa.int64()] * 4 + [pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "n_item", "n_shared", "containment"])
-
-        part = text_of(docs).mapInArrow(search, schema)
-        found = part if found is None else found.unionByName(part)
-    return docs.sparkSession.createDataFrame([], schema) if found is None else found
+    files = item_blocks(benchmark, width)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            out = [(ids[r], items.ids[k], len(items.sets[k]), n, c) for r, items, k, n, c in _search(batch.column("text"), files, threshold)]
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            kinds = [pa.int64()] * 4 + [pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "n_item", "n_shared", "containment"])
+
+    return text_of(docs).mapInArrow(search, "doc_id long, item_id long, n_item long, n_shared long, containment double")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.8, width: int = 5) -> DataFrame:
     """The rows of ``docs`` in which no item was found; a row is judged by its own text, also where ids repeat."""
-    text, blocks_of_items = docs.columns.index("text"), [Items(rows, width) for rows in _item_blocks(benchmark)]
-    kept = docs
-    for items in blocks_of_items:
-
-        def clean(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ok = np.ones(batch.num_rows, bool)
-                for b in blocks(batch.column(text)):
-                    for width_ in items.widths():
-                        for r, *_ in items.search(b, width_, threshold):
-                            ok[r] = False
-                yield batch.filter(pa.array(ok))
-
-        kept = kept.mapInArrow(clean, docs.schema)
-    return kept
+    text, files = docs.columns.index("text"), item_blocks(benchmark, width)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = np.ones(batch.num_rows, bool)
+            for r, *_ in _search(batch.column(text), files, threshold):
+                ok[r] = False
+            yield batch.filter(pa.array(ok))
+
+    return docs.mapInArrow(clean, docs.schema)

@@ -14,12 +14,13 @@ source is found by two rounds of 1,024 bucket sums and then inside one bucket of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import WORD, broadcast_below, null_key, stage
+from pagemill.llm.common import WORD, broadcast_below, fresh, null_key, stage
 
 BITS = 40
 
@@ -40,22 +41,39 @@ def sized(docs: DataFrame, seed: int) -> DataFrame:
     )
 
 
+def _ranked(sources: DataFrame) -> DataFrame:
+    """``sources`` with _rank, their place by code point, null last: a range sort, and one count for each range."""
+    order = F.col("_source").asc_nulls_last()
+    rows = sources.repartitionByRange(order).sortWithinPartitions(order).withColumn("_at", F.monotonically_increasing_id())
+    rows = stage(rows, "mix-sources")
+    part = F.shiftright("_at", 33).cast("int")
+    before, sums = 0, {}
+    for r in sorted(rows.groupBy(part.alias("part")).count().collect()):
+        sums[r["part"]] = before
+        before += r["count"]
+    if not sums:
+        return rows.withColumnRenamed("_at", "_rank")
+    heads = F.array(*[F.lit(sums.get(k, 0)) for k in range(max(sums) + 1)])
+    return rows.withColumn("_rank", F.element_at(heads, part + 1) + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at")
+
+
 def water_fill(sources: DataFrame, share: float, max_epochs: float, weights: Sequence[float]) -> DataFrame:
     """sources(_source, _key, source_size) -> the same and target.
 
-    Clamped sources are those whose cap by weight lies below the water level; in order of cap / weight they come
-    first, so the level is the first (budget - caps before) / (weights left) that its own row's ratio allows.
+    Sources above their cap by weight are clamped to it and what they leave is shared anew by weight, which raises the level
+    for the others, until a round clamps nobody. A round is one aggregate row.
     """
-    ranked = sources.withColumn("_rank", F.row_number().over(Window.orderBy(F.asc_nulls_last("_source"))) - 1)
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
-    w = ranked.withColumn("_weight", weight).withColumn("_cap", max_epochs * F.col("source_size").cast("double"))
-    w = w.withColumn("_ratio", F.col("_cap") / F.col("_weight"))
-    every, before = Window.partitionBy(), Window.orderBy("_ratio", "_rank").rowsBetween(Window.unboundedPreceding, -1)
-    w = w.withColumn("_budget", share * F.sum("source_size").over(every)).withColumn("_all", F.sum("_weight").over(every))
-    spent = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0.0))
-    w = w.withColumn("_level", (F.col("_budget") - spent("_cap")) / (F.col("_all") - spent("_weight")))
-    level = F.min_by(F.when(F.col("_level") <= F.col("_ratio"), F.col("_level")), F.when(F.col("_level") <= F.col("_ratio"), F.col("_ratio"))).over(every)
-    target = F.least(F.col("_cap"), F.coalesce(level, F.lit(float("inf"))) * F.col("_weight"))
+    w = stage(_ranked(sources).withColumns({"_weight": weight, "_cap": max_epochs * F.col("source_size").cast("double")}), "mix-weights")
+    budget = share * (w.agg(F.sum("source_size").alias("s")).first()["s"] or 0)
+    above = lambda level: F.col("_cap") < level * F.col("_weight")
+    level, clamped = 0.0, -1
+    while True:
+        r = w.agg(F.count(F.when(above(level), 1)).alias("n"), F.sum(F.when(above(level), F.col("_cap"))).alias("cap"), F.sum(F.when(~above(level), F.col("_weight"))).alias("free")).first()
+        if r["n"] == clamped:
+            break
+        level, clamped = ((budget - (r["cap"] or 0.0)) / r["free"] if r["free"] else math.inf), r["n"]
+    target = F.least(F.col("_cap"), F.lit(level) * F.col("_weight"))
     return w.select("_source", "_key", "source_size", target.alias("target"))
 
 
@@ -113,12 +131,13 @@ def with_repeats(docs: DataFrame, *, share: float = 1.5, max_epochs: float = 2.0
 def mix_sources(docs: DataFrame, *, share: float = 1.5, max_epochs: float = 2.0, weights: Sequence[float] = (3, 1, 2), seed: int = 17) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     sizes = stage(sized(docs, seed), "mix-sizes")
-    plan = plan_mix(sizes, share=share, max_epochs=max_epochs, weights=weights)
-    plan = broadcast_below(plan.select(*[F.col(c).alias(f"_mix{c}") for c in plan.columns]), 100_000)
-    row = docs.withColumns({"_mix_at": _order(F.col("doc_id"), seed), "_mix_src": null_key(F.col("source"))})
-    part = (F.col("_mix_at") <= F.col("_mix_cut")) | F.coalesce(F.col("_mix_at") == F.col("_mix_fill"), F.lit(False))
-    taken = row.join(plan, F.col("_mix_src") == F.col("_mix_key")).withColumn("_mix_n", F.col("_mixwhole") + part.cast("long"))
-    taken = taken.filter(F.col("_mix_n") > 0).withColumn("_mix_k", F.explode(F.array_repeat(F.lit(0), F.col("_mix_n").cast("int"))))
+    plan = plan_mix(sizes, share=share, max_epochs=max_epochs, weights=weights).select("_key", "whole", "_cut", "_fill")
+    at, source, key, whole, cut, fill, n, k = names = fresh(docs, "at", "source_key", "key", "whole", "cut", "fill", "n", "k")
+    plan = broadcast_below(plan.toDF(*names[2:6]), 100_000)
+    row = docs.withColumns({at: _order(F.col("doc_id"), seed), source: null_key(F.col("source"))})
+    part = (F.col(at) <= F.col(cut)) | F.coalesce(F.col(at) == F.col(fill), F.lit(False))
+    taken = row.join(plan, F.col(source) == F.col(key)).withColumn(n, F.col(whole) + part.cast("long"))
+    taken = taken.filter(F.col(n) > 0).withColumn(k, F.explode(F.array_repeat(F.lit(0), F.col(n).cast("int"))))
     return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

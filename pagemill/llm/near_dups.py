@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -102,7 +102,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
 
 def candidates(classes: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """(edges a, b between classes that may be linked; rep, common: how common a class's hashes are)."""
+    """(edges a, b between classes that may be linked; a staged table rep, common: how common a class's hashes are)."""
     kept = classes.select("rep", "one", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("v"))
     lists = kept.groupBy("v").agg(F.count("*").alias("members")).filter(F.col("members") > 1)
     met = kept.join(lists, "v").groupBy("rep", "one", "n", "size").agg(F.sort_array(F.collect_list(F.struct("members", "v"))).alias("lists"), F.sum("members").alias("common"))
@@ -134,7 +134,7 @@ def candidates(classes: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame
     over_parts = tied(in_parts.select("v", "band", F.col("least").alias("rep")), ["v", "band"])
     ties = in_parts.select("least", "all").unionByName(over_parts.select("least", "all"))
     ties = ties.filter(F.size("all") > 1).select(F.explode("all").alias("a"), F.col("least").alias("b")).filter(F.col("a") != F.col("b"))
-    return edges.unionByName(ties).distinct(), met.select("rep", "common")
+    return edges.unionByName(ties).distinct(), met
 
 
 def _links(query: list[np.ndarray], member: list[np.ndarray], q_id: list[int], m_id: list[int], threshold: int) -> list[tuple[int, int]]:
@@ -207,9 +207,9 @@ def _confirm(rows: DataFrame, width: int, threshold: int) -> DataFrame:
     return rows.select("group", "asks", "tells", "rep", "text").groupBy("group").applyInArrow(group, "a long, b long")
 
 
-def confirmed(docs: DataFrame, classes: DataFrame, threshold: int, width: int) -> DataFrame:
-    """Links a, b between classes, confirmed on whole sets; as many as connect what is connected."""
-    edges, common = candidates(classes, threshold)
+def confirmed(docs: DataFrame, classes: DataFrame, threshold: int, width: int) -> list[DataFrame]:
+    """Staged tables of links a, b between classes, confirmed on whole sets; as many as connect what is connected."""
+    edges, met = candidates(classes, threshold)
     member = components(edges).select(F.col("node").alias("rep"), F.col("component").alias("of"))
     # like sizes lie in one band or in neighbouring ones
     step = -math.log(threshold / 100) * (1 + 1e-9) if threshold < 100 else 1.0
@@ -224,7 +224,10 @@ def confirmed(docs: DataFrame, classes: DataFrame, threshold: int, width: int) -
     small = texts.filter(~F.col("large")).select(F.col("of").cast("string").alias("group"), yes.alias("asks"), yes.alias("tells"), "rep", "text")
     of_large = sized.filter("large")
     if not of_large.limit(1).count():
-        return stage(_confirm(small, width, threshold), "links")
+        links = stage(_confirm(small, width, threshold), "links")
+        for t in (met, sized, texts):
+            forget(t)
+        return [links]
 
     large = texts.filter("large")
     blocks_of = F.greatest(F.ceil(F.count("*") / F.lit(float(BLOCK))), F.ceil(F.sum("bytes") / F.lit(float(BLOCK_BYTES)))).cast("int")
@@ -241,7 +244,7 @@ def confirmed(docs: DataFrame, classes: DataFrame, threshold: int, width: int) -
     rank = F.row_number().over(Window.partitionBy("of").orderBy(F.desc("common"), "rep"))
     # the few most central per hash bucket first, so that no window holds a whole component
     spread = F.row_number().over(Window.partitionBy("of", F.pmod(F.xxhash64("rep"), F.lit(64))).orderBy(F.desc("common"), "rep"))
-    centre = of_large.join(common, "rep").withColumn("k", spread).filter(F.col("k") <= CENTRES).withColumn("k", rank).filter(F.col("k") <= CENTRES)
+    centre = of_large.join(met.select("rep", "common"), "rep").withColumn("k", spread).filter(F.col("k") <= CENTRES).withColumn("k", rank).filter(F.col("k") <= CENTRES)
     first = stage(_confirm(small.unionByName(told).unionByName(everywhere(large.join(centre.select("rep"), "rep", "left_semi"))), width, threshold), "links-centres")
 
     joined = components(first.join(of_large.select(F.col("rep").alias("a")), "a", "left_semi")).withColumnRenamed("node", "rep")
@@ -250,8 +253,9 @@ def confirmed(docs: DataFrame, classes: DataFrame, threshold: int, width: int) -
     main = parts.groupBy("of").agg(F.max_by("component", F.struct("members", "component")).alias("main"))
     left = stage(part.join(main, "of").filter(F.col("component") != F.col("main")).select("rep"), "unplaced")
     second = stage(_confirm(told.unionByName(everywhere(large.join(left, "rep", "left_semi"))), width, threshold), "links-rest")
-    forget(texts)
-    return first.unionByName(second)
+    for t in (met, sized, texts, cells, left):
+        forget(t)
+    return [first, second]
 
 
 def near_components(docs: DataFrame, *, threshold: int = 80, width: int = 5) -> DataFrame:
@@ -264,7 +268,9 @@ def near_components(docs: DataFrame, *, threshold: int = 80, width: int = 5) ->
     # an id with two texts links their classes
     twice = usable.groupBy("doc_id").agg(F.count("*").alias("rows")).filter(F.col("rows") > 1).select("doc_id")
     same = usable.join(twice, "doc_id").join(classes.select("one", "two", "n", "rep"), ["one", "two", "n"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    comp = stage(components(links.unionByName(same)), "components")
+    comp = stage(components(reduce(DataFrame.unionByName, [same, *links])), "components")
+    for t in links:
+        forget(t)
     # only sets with copies or links change anything
     of_class = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").filter(F.col("component").isNotNull() | (F.col("copies") > 1))
     of_class = of_class.select("one", "two", "n", F.coalesce("component", "rep").alias("component"))

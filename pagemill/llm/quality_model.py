@@ -1,8 +1,8 @@
 """Quality scores from histogram gradient-boosted trees over document statistics.
 
 Training takes labels only of documents whose crc32(doc_id as text) mod 5 is not 0, and of those at most
-``max_labelled`` (20,000 by default), the ones with the smallest seeded hash of doc_id; that bounds what is
-broadcast and what comes to the driver. Every document of every size is scored.
+``max_labelled`` (20,000 by default), the ones with the smallest seeded hash of doc_id, one text each (of several with an id
+the smallest); that bounds what is broadcast and what comes to the driver. Every document of every size is scored.
 
 Defined results: a null or empty text has the statistics 0 and a score like any other; a null doc_id is not held
 out; labels with a null quality do not count, of several labels of a document the largest does; without labels all
@@ -48,7 +48,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_000, see
             x = _matrix(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_label"), pa.array(list(x), pa.list_(pa.float32()))], ["doc_id", "_label", "x"])
 
-    rows = text_of(docs).join(F.broadcast(known), "doc_id").select("doc_id", "text", "_label")
+    rows = text_of(docs).join(F.broadcast(known), "doc_id").groupBy("doc_id", "_label").agg(F.min("text").alias("text"))
     rows = rows.mapInArrow(describe, "doc_id long, _label int, x array<float>").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["x"]))
     if not rows:
