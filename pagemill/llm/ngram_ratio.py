@@ -18,6 +18,7 @@ merge, which shuffles the texts once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -203,7 +204,7 @@ def measure_by_join(docs: DataFrame, trusted: DataFrame, n: int) -> DataFrame:
 def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, dense: int = DENSE) -> DataFrame:
     """Contract of op7, and the ratio."""
     trusted = labels.filter((F.col("quality") == 1) & ~(F.coalesce(F.col("toxic"), F.lit(0)) == 1) & F.col("doc_id").isNotNull())
-    n = max(1, -(-distinct_ngrams(docs) // LOAD))
+    n = max(1, math.ceil(distinct_ngrams(docs) / LOAD))
     m = measure(text_of(docs), bucket_ratios(docs, trusted, n)) if n <= dense else measure_by_join(docs, trusted, n)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return m.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("ratio") >= threshold))

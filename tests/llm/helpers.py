@@ -10,3 +10,11 @@ def make_docs(spark, rows, schema=DOCS):
 
 def words(rnd, n, vocabulary=400):
     return " ".join(f"w{rnd.randrange(vocabulary)}" for _ in range(n))
+
+
+def morse(n, a, b):
+    """A Thue-Morse word of n letters (a power of two): polynomial hashes modulo 2 ** 64 take it for its complement."""
+    w = a
+    while len(w) < n:
+        w += w.translate({ord(a): b, ord(b): a})
+    return w

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagemill.llm import decontaminate, graph, near_dups, substring_dedup
-from tests.llm.helpers import make_docs, words
+from tests.llm.helpers import make_docs, morse, words
 
 FOLD = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
 
@@ -85,6 +85,8 @@ def near_rows():
         rows.append((at, edited(r, text, r.choice([0.005, 0.01, 0.02, 0.04]))))
         at += 1
     r.shuffle(rows)
+    a, b = morse(1024, "a", "b"), morse(1024, "b", "a")
+    rows += [(at + 4, f"x y z {a}"), (at + 5, f"x y z {b}")]  # unlike, though their letters are alike
     return [*rows, (0, "again with id zero"), (at, None), (at + 1, " "), (None, rows[0][1]), (at + 2, "One two"), (at + 3, "one  TWO")]
 
 
@@ -92,7 +94,9 @@ def near_rows():
 def test_near_duplicates(spark, near_rows, width, threshold, block, monkeypatch):
     monkeypatch.setattr(near_dups, "BLOCK", block)  # 20: the large group goes over several tasks
     monkeypatch.setattr(near_dups, "CENTRES", 3)
-    docs = make_docs(spark, near_rows).withColumns({"rep": F.lit(1), "component": F.lit(2), "n": F.lit(3)})
+    monkeypatch.setattr(near_dups, "HOT", 8)  # the larger groups meet in long lists
+    monkeypatch.setattr(near_dups, "TIED", 16)  # which fall into parts
+    docs = make_docs(spark, near_rows).withColumns({"rep": F.lit(1), "component": F.lit(2), "n": F.lit(3), "gone": F.lit(4), "_gone": F.lit(5)})
     want = components(near_rows, width, threshold)
     got = near_dups.near_components(docs, threshold=threshold, width=width).collect()
     assert len(got) == len(near_rows)
@@ -105,6 +109,40 @@ def test_near_duplicates(spark, near_rows, width, threshold, block, monkeypatch)
     assert sorted(x["doc_id"] for x in kept.filter("doc_id is not null").collect()) == sorted(d for d, _ in near_rows if d is not None and want.find(d) == d)
 
 
+def test_pairs_at_the_similarity_among_templates(spark):
+    """Texts that are mostly a template of many others, in pairs just at 85 percent: every pair is found, and no other."""
+    r = random.Random(21)
+    templates = [words(r, n, 10**6) for n in (40, 70, 100)]
+    rows, want = [], set()
+    for k in range(150):
+        w = f"{templates[k % 3]} {words(r, 60, 10**6)}".split()
+        n = len(w) - 2
+        other, edits = w[:], 0
+        while True:  # one word changes three shingles
+            more = other[:]
+            more[len(w) - 2 - 4 * edits] = f"y{k}_{edits}"
+            a, b = shingle_set(" ".join(w), 3), shingle_set(" ".join(more), 3)
+            if 100 * len(a & b) < 85 * len(a | b):
+                break
+            other, edits = more, edits + 1
+        assert edits and n
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(other))]
+        want.add((2 * k, 2 * k + 1))
+    got = near_dups.near_components(make_docs(spark, rows), threshold=85, width=3).filter("not kept").collect()
+    assert {(x["component_id"], x["doc_id"]) for x in got} == want
+
+
+def test_overlaps():
+    for percent in (80, 85):
+        for size in range(1, near_dups.SKETCH + 1):
+            m, c = near_dups.overlap(size, percent), near_dups.meetings(size, percent)
+            assert 1 <= c <= m <= size
+        assert near_dups.overlap(10, percent) == -(-percent * 10 // 100)  # small sets are whole
+    r = np.random.default_rng(3)
+    shared = r.binomial(near_dups.SKETCH, 0.8, 200_000)
+    assert shared.min() >= near_dups.overlap(near_dups.SKETCH, 80)
+
+
 def test_near_duplicates_of_odd_rows(spark, odd_docs, odd_rows, no_docs):
     got = near_dups.near_components(odd_docs).collect()
     assert len(got) == len(odd_rows)
@@ -208,7 +246,7 @@ def test_blocks_of_items(spark, leaks, monkeypatch):
     assert sorted(map(repr, decontaminate.find_items(docs, bench).collect())) == one
 
 
-def test_pipeline(spark, odd_docs, no_docs, tmp_path):
+def test_pipeline(spark, odd_docs, odd_rows, no_docs, tmp_path):
     import corpus_pipeline
 
     r = random.Random(12)
@@ -237,7 +275,25 @@ def test_pipeline(spark, odd_docs, no_docs, tmp_path):
     ends = sorted((x["start"], x["n_tokens"]) for x in got)
     assert all(a + n == b for (a, n), (b, _) in zip(ends, ends[1:], strict=False))
     for name, f in corpus_pipeline.STAGES:
-        for d in (no_docs, odd_docs):
-            out = f(spark, d, sf)
-            assert name == "token_output" or out.columns == d.columns
-            assert (out.count() == 0) or d is odd_docs
+        assert f(spark, no_docs, sf).collect() == []
+        out = f(spark, odd_docs, sf)
+        rows = sorted((x.asDict()["doc_id"] if x["doc_id"] is not None else -1) for x in out.collect())
+        every = sorted(-1 if d is None else d for d, _ in odd_rows)
+        if name != "token_output":
+            assert out.columns == odd_docs.columns
+        if name in ("decontamination", "token_output"):  # no odd row has an item, and each is written
+            assert rows == every
+        elif name == "near_duplicates":  # rows that share an id are one node, which stands for its group
+            assert rows == every
+        else:  # a subset by score, or repeated at most twice
+            assert set(rows) <= set(every) and all(rows.count(x) <= 2 * every.count(x) for x in rows)
+    # the odd rows run through all stages, and the result is that of the stages one by one
+    (tmp_path / "odd").mkdir()
+    odd_docs.select(docs.columns).unionByName(make_docs(spark, rows_of := [(1000 + d, t, s) for d, t, s in good[:30]])).write.parquet(str(tmp_path / "odd" / "documents.parquet"))
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{t}.parquet").write.parquet(str(tmp_path / "odd" / f"{t}.parquet"))
+    d = spark.read.parquet(str(tmp_path / "odd" / "documents.parquet"))
+    for _, f in corpus_pipeline.STAGES:
+        d = f(spark, d, str(tmp_path / "odd"))
+    key = lambda x: (x["doc_id"] is not None, x["doc_id"] or 0, x["n_tokens"], x["ids_crc32"])
+    assert sorted(map(key, d.collect())) == sorted(map(key, corpus_pipeline.run(spark, str(tmp_path / "odd")).collect())) and rows_of

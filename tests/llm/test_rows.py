@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pagemill.llm import boosting, chat, mixing, ngram_ratio, personal_data, quality_model
-from tests.llm.helpers import make_docs, words
+from tests.llm.helpers import make_docs, morse, words
 
 
 def fill(sizes, weights, budget, cap):
@@ -60,6 +61,35 @@ def test_mix_of_odd_rows(spark, odd_docs, odd_rows, no_docs):
     assert mixing.mixed_words(no_docs).collect() == [] and mixing.mix_sources(no_docs).collect() == []
 
 
+def test_mix_keeps_columns_of_any_name(spark):
+    r = random.Random(4)
+    names = ("at", "source_key", "key", "whole", "cut", "fill", "n", "k", "_mix_at", "_mix_src")
+    docs = make_docs(spark, [(i, words(r, 9), "ab"[i % 2]) for i in range(40)]).withColumns({c: F.lit(f"mine {c}") for c in names})
+    mixed = mixing.mix_sources(docs)
+    assert mixed.columns == docs.columns
+    assert {tuple(x[c] for c in names) for x in mixed.collect()} == {tuple(f"mine {c}" for c in names)}
+
+
+@pytest.mark.parametrize("sizes", [{"a": 100, "b": 1, "c": 1}, {"a": 5, "b": 50, "c": 500, "d": 5000, None: 3}, {"a": 0, "b": 7}, {f"s{i:03}": 2 ** (i % 12) for i in range(200)}])
+def test_water_levels(spark, sizes):
+    weights = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s)))}
+    want = fill(sizes, weights, 1.5 * sum(sizes.values()), 2)
+    rows = spark.createDataFrame([(s, repr(s), n) for s, n in sizes.items()], "_source string, _key string, source_size long")
+    got = {x["_source"]: x["target"] for x in mixing.water_fill(rows, 1.5, 2.0, (3, 1, 2)).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from pagemill.llm import common
+
+    session = lambda folder: SimpleNamespace(sparkContext=SimpleNamespace(master="spark://somewhere:7077"), conf=SimpleNamespace(get=lambda *_: folder))
+    assert common.shared_dir(session("hdfs://x/y/")) == "hdfs://x/y"
+    with pytest.raises(RuntimeError):
+        common.shared_dir(session(None))
+
+
 def test_boosting():
     r = np.random.default_rng(1)
     x = r.normal(size=(3000, 5)).astype(np.float32)
@@ -122,6 +152,30 @@ def test_rules(spark, labelled, odd_docs, odd_rows, no_docs):
 
 
 
+def test_ratios_by_brute_force(spark, monkeypatch):
+    """With far more buckets than n-grams they do not collide, and the ratio is the formula over a dictionary."""
+    monkeypatch.setattr(ngram_ratio, "LOAD", 1 / 1024)
+    r = random.Random(13)
+    rows = [(i, words(r, r.randrange(0, 90), 60).title()) for i in range(80)] + [(80, None), (81, "One"), (82, "same\nline\n\nsame\n" + f"{morse(1024, 'a', 'b')}\n{morse(1024, 'b', 'a')}")]
+    labels = spark.createDataFrame([(d, int(d % 3 == 0), int(d % 6 == 0)) for d in range(80)], "doc_id long, quality int, toxic int")
+    got = {x["doc_id"]: x for x in ngram_ratio.judged(make_docs(spark, rows), labels).collect()}
+    grams, raw, good = {}, Counter(), Counter()
+    for d, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+        # a text of one word has that word as its only pair
+        grams[d] = [(x,) for x in w] + ([("pair", *w)] if len(w) == 1 else [("pair", *x) for x in zip(w, w[1:], strict=False)])
+        raw.update(grams[d])
+        if d < 80 and d % 3 == 0 and d % 6:
+            good.update(grams[d])
+    share = sum(good.values()) / sum(raw.values())
+    weight = {g: math.log((good[g] + ngram_ratio.PRIOR * share) / (share * (n + ngram_ratio.PRIOR))) for g, n in raw.items()}
+    for d, _ in rows:
+        want = sum(weight[g] for g in grams[d]) / len(grams[d]) if grams[d] else 0.0
+        assert got[d]["ratio"] == pytest.approx(want, abs=4e-3)
+        assert got[d]["kept"] == (not got[d]["base_failed"] and got[d]["ratio"] >= ngram_ratio.THRESHOLD)
+    assert got[82]["n_dup_lines"] == 1
+
+
 @pytest.mark.parametrize("n", [200, 4000])
 def test_rules_separate_at_two_sizes(spark, n):
     """Junk of words that trusted text does not have stays out, and text like it in, however many distinct n-grams there are."""
@@ -185,6 +239,28 @@ def test_personal_data(spark, odd_docs, odd_rows, no_docs):
     assert personal_data.reported(no_docs).collect() == []
 
 
+def test_further_kinds(spark):
+    """Planted persons, addresses and secrets are found; look-alikes are left alone."""
+    r = random.Random(7)
+    people = ["Dr. Maria Keller", "Mrs Jane Whitmore", "Herr Klaus Baumann", "Sarah O. Lindqvist", "Pierre Dubois-Martin", "Señora Carmen Ortega"]
+    places = ["221 Baker Street", "14 Old Mill Road", "Gartenstraße 12", "12, rue de la Paix", "Calle de Alcalá, 45"]
+    rows, want = [], defaultdict(set)
+    for i in range(120):
+        kind, found = r.choice([("person", people), ("address", places), ("secret", [hashlib.sha1(str(i).encode()).hexdigest()])])
+        x = r.choice(found)
+        before = words(r, 5) + {"person": " signed by ", "address": " lives at ", "secret": ' api_key="'}[kind]
+        rows.append((i, f"{before}{x}{chr(34) if kind == 'secret' else ''} {words(r, 5)}"))
+        want[i].add((kind, len(before), len(before) + len(x)))
+    clean = ["Version 20240131 of chapter 12345678.", "The Street was long and 15 People came.", "Drive 55 is Way off.", "Dr no was seen at 1234-5678-90", "paul walked; may came in june 2024-06-01", ""]
+    rows += [(200 + i, t) for i, t in enumerate(clean)]
+    got = {x["doc_id"]: x for x in personal_data.reported(make_docs(spark, rows)).collect()}
+    spans = {d: {(k, int(s), int(e)) for k, s, e in (y.split(":") for y in x["spans"].split(",") if y)} for d, x in got.items()}
+    hit = sum(want[d] <= spans[d] for d in want)
+    assert hit >= 0.95 * len(want), (hit, len(want))
+    assert all(not spans[200 + i] and got[200 + i]["n_spans"] == 0 for i in range(len(clean)))
+    assert all(x["n_spans"] == len(spans[d]) and x["n_secret"] == sum(k == "secret" for k, *_ in spans[d]) for d, x in got.items())
+
+
 def test_expectation_maximisation():
     counts = {(1, 0, 1, 0, 1, 1): 50, (0, -1, 0, -1, -1, -1): 200, (0, 0, 0, 0, 0, 0): 5}
     post = personal_data.expectation_maximisation(counts)

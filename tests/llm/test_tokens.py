@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from tests.llm.helpers import make_docs
+from tests.llm.helpers import make_docs, morse
 
 from pagemill.llm import pretokens, token_counts, token_files
 from pagemill.llm.common import scratch
@@ -31,6 +31,24 @@ def test_pieces_equal_the_library(library):
     assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+MORSE = [morse(n, a, b) for n in (8, 64, 1024, 8192) for a, b in ("ab", "ba", "et", "te", "xa", "ax")]
+
+
+def test_repetitive_words_equal_the_library(library, monkeypatch):
+    want = [library.encode(t, add_special_tokens=False).ids for t in MORSE]
+
+    def check():
+        k, c = pretokens.Pieces(tokenizer()), pretokens.PieceCounts(tokenizer(), limit=3)
+        assert [x.tolist() for b in blocks(pa.array(MORSE)) for x in k.encode(b)] == want
+        assert [x for b in blocks(pa.array(MORSE)) for x in c.counts(b).tolist()] == list(map(len, want))
+
+    check()
+    # were all spans over eight bytes to collide, their bytes would still tell them apart
+    real = pretokens.span_hash
+    monkeypatch.setattr(pretokens, "span_hash", lambda buf, s, e: np.where(e - s > 8, np.uint64(1), real(buf, s, e)))
+    check()
+
+
 def test_counts(spark, odd_docs, odd_rows, no_docs, library):
     got = sorted(((r["doc_id"] or -1, r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in token_counts.over_limit(odd_docs, tokenizer()).collect()))
     want = sorted((d or -1, len((t or "").encode()), n := len(library.encode(t or "", add_special_tokens=False).ids), n > 1024) for d, t in odd_rows)
