@@ -1,15 +1,14 @@
 """Text normalization as a chain of column expressions, each with its own 'changed' flag.
 
 A rule is a function ``(text: Column, kind: str) -> Column``; ``register_rule`` adds one, ``apply_rules`` runs a list of
-rule ids in order. Only NFC and the joining of hyphenated line breaks need Python (Arrow batches), and then only for the
-rows that a native test lets through.
+rule ids in order. Only NFC needs Python (Arrow batches): texts without a character that NFC could touch are sent as nulls.
 """
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Callable, Sequence
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -40,7 +39,7 @@ COMPOUNDS = frozenset(
 PREFIXES = frozenset("non pre post anti multi sub co cross self well beta dose peer first second third long short high low all half gold real".split())
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿĀ-ž"
-_BREAK = rf"\b([{_LETTER}]+)[-\u00ad\u2010\u2011]\s*\n\s*([{_LETTER}]+)\b"
+_BREAK = rf"(?U)\b([{_LETTER}]+)[-\u00ad\u2010\u2011]\s*\n\s*([{_LETTER}]+)\b"
 
 
 def strip_controls(text: Column, kind: str = "paragraph", keep_joiners: bool = True) -> Column:
@@ -50,13 +49,37 @@ def strip_controls(text: Column, kind: str = "paragraph", keep_joiners: bool = T
     return F.regexp_replace(tabs, f"[{CONTROLS}{'' if keep_joiners else JOINERS}]", "")
 
 
+@cache
+def unstable() -> str:
+    """A class of all characters that may not be in NFC: marks, parts of Hangul syllables, and what NFC replaces by itself."""
+    odd = [c for c in range(0x80, 0x30000) if not 0xD800 <= c < 0xE000 and not unicodedata.is_normalized("NFC", chr(c))]
+    spans: list[list[int]] = []
+    for c in odd:
+        if spans and spans[-1][1] == c - 1:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
+    return "[\\p{M}\\x{1161}-\\x{1175}\\x{11A8}-\\x{11C2}" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in spans) + "]"
+
+
 @F.pandas_udf(T.StringType())
 def _nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _nfc_all(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda ts: [None if t is None else unicodedata.normalize("NFC", t) for t in ts], na_action="ignore")
+
+
 def unicode_nfc(text: Column, kind: str = "paragraph") -> Column:
-    return F.when(text.rlike("[^\\x00-\\x7F]"), _nfc(text)).otherwise(text)
+    # a UDF inside ``when`` runs for every row, so those that need nothing go as nulls
+    return F.coalesce(_nfc(F.when(text.rlike(unstable()), text)), text)
+
+
+def unicode_nfc_all(texts: Column) -> Column:
+    """``unicode_nfc`` of an array's elements."""
+    return F.coalesce(_nfc_all(F.when(F.exists(texts, lambda t: t.rlike(unstable())), texts)), texts)
 
 
 def expand_ligatures(text: Column, kind: str = "paragraph") -> Column:
@@ -65,22 +88,19 @@ def expand_ligatures(text: Column, kind: str = "paragraph") -> Column:
     return text
 
 
-def join_break(first: str, second: str) -> str:
-    """What stands for two halves of a word at a line break."""
-    pair = f"{first}-{second}"
-    known = pair.lower() in COMPOUNDS
-    loud = first.isupper() and second.isupper() and first.lower() in PREFIXES
-    return pair if known or loud else first + second
-
-
-@F.pandas_udf(T.StringType())
-def _dehyphenate(text: pd.Series) -> pd.Series:
-    pattern = re.compile(_BREAK)
-    return text.map(lambda s: pattern.sub(lambda m: join_break(m[1], m[2]), s).replace(SOFT_HYPHEN, ""), na_action="ignore")
-
-
 def dehyphenate(text: Column, kind: str = "paragraph") -> Column:
-    return F.when(text.rlike("(?U)[-\\u2010\\u2011]\\s*\\n|\\u00AD"), _dehyphenate(text)).otherwise(text)
+    """Words cut at a line break are joined; known compounds, and prefixes in capitals, keep their hyphen."""
+    first, second = (F.regexp_extract_all(text, F.lit(_BREAK), F.lit(g)) for g in (1, 2))
+
+    def joined(a: Column, b: Column) -> Column:
+        pair = F.concat(a, F.lit("-"), b)
+        loud = (a == F.upper(a)) & (b == F.upper(b)) & F.lower(a).isin(*sorted(PREFIXES))
+        return F.when(F.lower(pair).isin(*sorted(COMPOUNDS)) | loud, pair).otherwise(F.concat(a, b))
+
+    words = F.concat(F.zip_with(first, second, joined), F.array(F.lit("")))
+    mended = F.array_join(F.zip_with(F.split(text, _BREAK, -1), words, lambda a, b: F.concat(a, b)), "")
+    mended = F.when(text.rlike("(?U)[-\u2010\u2011\u00AD]\\s*\\n"), mended).otherwise(text)
+    return F.replace(mended, F.lit(SOFT_HYPHEN), F.lit(""))
 
 
 def _strip(text: Column) -> Column:

@@ -56,11 +56,25 @@ def test_reading_order_and_geometry(spark):
 
 
 def test_tables(spark):
-    first = {"page": 1, "header": ["Approach", "Score"], "rows": [["a", "1"]]}
-    more = {"page": 2, "header": ["Continuation of Table 3. Approach", "Continuation of Table 3. Score"], "rows": [["Approach", "Score"], ["b", "2"], ["End of Table", "End of Table"]]}
-    assert tables.join_tables([first, more]) == [{"page": 1, "header": ["Approach", "Score"], "rows": [["a", "1"], ["b", "2"]]}]
-    assert len(tables.join_tables([first, {"page": 2, "header": ["x"], "rows": []}])) == 2
-    assert tables.strip_marker("It is so. Done now. End of Table") == "It is so. Done now" or tables.strip_marker("It is so. Done now. End of Table").startswith("It is so.")
+    t = spark.createDataFrame(
+        [
+            ("d", 0, 1, ["Approach", "Score"], [["a", "1"]]),
+            ("d", 1, 2, ["Continuation of Table 3. Approach", "Continuation of Table 3.  Score"], [["Approach", "Score"], ["b", "It is so. Done now. End of Table"], ["End of Table", "End of Table"]]),
+            ("d", 2, 3, ["Table 3", "Table 3"], [["c", "3"], ["d", "x y. Go on"]]),
+            ("d", 3, 4, ["x"], [["x"], ["y"]]),
+            ("d", 4, 3, ["x"], []),
+            ("e", 0, 1, ["Approach", "Score"], [["Approach", " Score "], ["z", "1"], ["y", None]]),
+            ("f", 0, 1, None, None),
+        ],
+        "doc_id string, seq int, page int, header array<string>, rows array<array<string>>",
+    )
+    got = {(r["doc_id"], r["seq"]): (r["page"], r["rows"]) for r in tables.join_continuations(t).collect()}
+    assert got == {
+        ("d", 0): (1, [["a", "1"], ["b", "It is so. Done now. End of Table"], ["End of Table", "End of Table"], ["c", "3"], ["d", "x y"]]),
+        ("d", 1): (4, []), ("d", 2): (3, []), ("e", 0): (1, [["z", "1"]]), ("f", 0): (1, []),
+    }
+    cells = spark.createDataFrame([("It is so. Done now. End of Table",), ("Two words",), ("It is so. Done now.",), ("One. Two three four five six seven eight",), ("Café.  A b c",)], "c string")
+    assert [r[0] for r in cells.select(tables.strip_marker(tables.tidy(F.col("c")))).collect()] == ["It is so. Done now", "Two words", "It is so. Done now.", "One. Two three four five six seven eight", "Café"]
     words = [(0.0, 10.0, "a"), (100.0, 10.5, "1"), (0.0, 30.0, "b"), (100.0, 30.2, "2"), (0.0, 42.0, "more")]
     assert tables.rows_from_words(words, [0.0, 100.0], ["h", "k"]) == [["a", "1"], ["b more", "2"]] or tables.rows_from_words(words, [0.0, 100.0], ["h", "k"]) is None
     assert tables.markdown_tables("Table 1. T\n| a | b |\n|---|---|\n| 1 | 2 |\n")[0] == {"caption": "Table 1. T", "header": ["a", "b"], "rows": [["1", "2"]]}
@@ -71,10 +85,22 @@ def test_tables(spark):
     assert [tuple(r) for r in got] == [(True, 1.0, False), (True, 0.3, False), (False, 1.0, True)]
 
 
-def test_references():
-    blocks = [("paragraph", "As shown [2]."), ("heading", "References"), ("paragraph", "[1] First"), ("paragraph", "continued"), ("paragraph", "[2] Second entry\n[3] Third"), ("heading", "Appendix"), ("paragraph", "[9] no")]
-    assert [(r["label"], r["text"]) for r in references.fold("d", blocks)] == [("[1]", "First continued"), ("[2]", "Second entry"), ("[3]", "Third")]
-    assert references.fold("d", [("paragraph", "1. only")]) == []
+def test_references(spark):
+    blocks = {
+        "d": [("paragraph", "As shown [2]."), ("heading", "References"), ("paragraph", "[1] First"), ("paragraph", "continued"), ("paragraph", "[2] Second entry\n[3] Third"), ("paragraph", "and more"), ("heading", "Appendix"), ("paragraph", "[9] no")],
+        "e": [("paragraph", "1. only")],
+        "f": [("paragraph", "see [2]"), ("paragraph", "1. one"), ("paragraph", "(2) two"), ("paragraph", "goes on"), ("heading", "H"), ("paragraph", "not this"), ("paragraph", "10  ten"), ("paragraph", "2. the longer second")],
+        "g": [("paragraph", "1. a"), ("paragraph", "2. b"), ("paragraph", "3. c, none cited [7]")],
+        "h": [("paragraph", None), ("title", "Works cited"), ("paragraph", "  lost line"), ("paragraph", "[1] same"), ("paragraph", "[1] SAME")],
+    }
+    df = spark.createDataFrame([(d, i, k, t) for d, bs in blocks.items() for i, (k, t) in enumerate(bs)], "doc_id string, seq int, kind string, text string")
+    got = {r["doc_id"]: [(x["label"], x["text"]) for x in r["references"]] for r in references.extract(df).collect()}
+    assert got == {
+        "d": [("[1]", "First continued"), ("[2]", "Second entry"), ("[3]", "Third and more")], "e": [], "g": [],
+        "f": [("[1]", "one"), ("[2]", "the longer second"), ("[10]", "ten")], "h": [("[1]", "same")],
+    }
+    refs = references.extract(df)
+    assert {(r["doc_id"], r["number"], r["reference_id"]) for r in references.cited(df, refs).collect() if r["doc_id"] == "f"} == {("f", "2", "f/ref-2")}
 
 
 def test_routing(spark):
