@@ -1,20 +1,22 @@
-"""Sentence boundaries and token budgets: a scanner in plain Python, and its Arrow wrapper."""
+"""Sentence boundaries and token budgets: patterns propose boundaries, filters hold some back; and an Arrow wrapper."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
 import pandas as pd
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FINAL = ".!?。！？…"
 # Abbreviations, without their last period.
-ABBREVIATIONS = frozenset("dr mr mrs ms st vs etc inc jr sr e.g i.e u.s u.k".split())
-_STOPS = re.compile(f"[{FINAL}]+")
-_BLANK = " \t\n\r\f\v"
+ABBREVIATIONS = ("dr", "mr", "mrs", "ms", "st", "vs", "etc", "inc", "jr", "sr", "e.g", "i.e", "u.s", "u.k")
+#: The stop that ends an abbreviation, and the one after an initial.
+_SHORT_FORMS = [regex.compile(rf"(?<![\p{{L}}.])(?:{x})([{FINAL}])") for x in (f"(?i:{'|'.join(map(regex.escape, ABBREVIATIONS))})", r"\p{Lu}")]
+#: Stops and blanks before a capital, a digit or a Chinese character.
+_BOUNDARY = regex.compile(rf"([{FINAL}]++)[ \t\n\r\f\v]*+(?=[\p{{Uppercase}}\p{{Nd}}\p{{No}}一-鿿])")
+#: What ends at a place and may be a designation: read backwards from there.
+_TOKEN = regex.compile(r"(?r)[\p{L}\p{N}/.-]+")
 
 
 def tokens(text: str) -> int:
@@ -26,56 +28,20 @@ def token_count(text: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(F.length(text) / 4).cast("int"))
 
 
-def _run_before(text: str, at: int, member) -> str:
-    start = at
-    while start and member(text[start - 1]):
-        start -= 1
-    return text[start:at]
-
-
-def _is_abbreviation(text: str, at: int) -> bool:
-    word = _run_before(text, at, lambda c: c.isalpha() or c == ".")
-    return word.lower() in ABBREVIATIONS or (len(word) == 1 and word.isupper())
-
-
-def _is_designation(text: str, at: int) -> bool:
-    """A stop after a digit of a token that has letters as well."""
-    if not at or not text[at - 1].isdigit():
-        return False
-    return any(c.isalpha() for c in _run_before(text, at, lambda c: c.isalnum() or c in "/.-"))
-
-
-def _candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Runs of stops; where one begins with the end of an abbreviation, the stops after that one begin a new run."""
-    for m in _STOPS.finditer(text):
-        yield m.start(), m.end()
+def _designates(text: str, at: int) -> bool:
+    """Whether a digit of a token that has letters as well ends at ``at``."""
+    m = _TOKEN.search(text, 0, at) if at and text[at - 1].isdigit() else None
+    return m is not None and m.end() == at and any(c.isalpha() for c in m[0])
 
 
 def split_sentences(text: str) -> tuple[list[str], int]:
     """(sentences, boundaries that a guard held back)."""
-    out, start, held = [], 0, 0
-    for first, end in _candidates(text):
-        at = first
-        while at < end and _is_abbreviation(text, at):
-            held += 1
-            at += 1
-        if at == end:
-            continue
-        after = end
-        while after < len(text) and text[after] in _BLANK:
-            after += 1
-        if after == len(text):
-            out.append(text[start:].strip())
-            return out, held
-        c = text[after]
-        if c.isupper() or c.isdigit() or "一" <= c <= "鿿":
-            if _is_designation(text, at):
-                held += 1
-            else:
-                out.append(text[start:after].strip())
-                start = after
-    rest = text[start:].strip()
-    return (out + [rest] if rest else out), held
+    short = {m.start(1) for form in _SHORT_FORMS for m in form.finditer(text)}
+    # a run that is a short form's stop alone is no boundary; further stops after it are
+    proposed = [(m.start() + (m.start() in short), m.end()) for m in _BOUNDARY.finditer(text) if not (m.start() in short and len(m[1]) == 1)]
+    ends = [end for at, end in proposed if not _designates(text, at)]
+    pieces = [text[a:b].strip() for a, b in zip([0, *ends], [*ends, len(text)], strict=True)]
+    return [p for p in pieces if p], len(short) + len(proposed) - len(ends)
 
 
 def tail_sentences(text: str, budget: int) -> list[str]:

@@ -7,26 +7,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.operators.ranking import at_rank, ranked
+
 
 def percentiles(df: DataFrame, by: Sequence[str], value: str, at: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
-    """Linear interpolation at q * (n - 1)."""
-    return df.groupBy(*by).agg(*[F.percentile(value, F.lit(q)).alias(f"p{round(q * 100)}") for q in at])
+    """Linear interpolation at q * (n - 1); nulls don't count."""
+    r = ranked(df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull()), by, ["_v"])
+
+    def one(q: float) -> Column:
+        lo, hi = (at_rank("_v", f(q * (F.col("_n") - 1)).cast("long")) for f in (F.floor, F.ceil))
+        pos = F.max(q * (F.col("_n") - 1))
+        return F.when(lo == hi, lo).otherwise((F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi).alias(f"p{round(q * 100)}")
 
+    return r.groupBy(*by).agg(*map(one, at))
 
-def upper_median(values: Column) -> Column:
+
+def upper_median(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Element n // 2 of the sorted values."""
-    x = F.array_sort(F.collect_list(values))
-    return F.element_at(x, F.floor(F.size(x) / 2).cast("int") + 1)
+    return ranked(df.select(*by, value).filter(F.col(value).isNotNull()), by, [value]).groupBy(*by).agg(at_rank(value, F.floor(F.col("_n") / 2)).alias("upper_median"))
 
 
 def exclusive_p95(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Position 0.95 * (n + 1) between sorted values; the largest where there are fewer than 20."""
-    x = F.array_sort(F.collect_list(F.col(value).cast("double")))
-    g = df.groupBy(*by).agg(x.alias("x")).withColumn("n", F.size("x"))
-    at = F.lit(0.95) * (F.col("n") + 1)
-    k = F.greatest(F.lit(1), F.least(F.floor(at).cast("int"), F.col("n") - 1))
-    inner = F.element_at("x", k) + (at - k) * (F.element_at("x", k + 1) - F.element_at("x", k))
-    return g.select(*by, F.when(F.col("n") < 20, F.array_max("x")).otherwise(inner).alias("p95"), F.expr("aggregate(x, 0D, (a, v) -> a + v)").alias("total"), "n")
+    r = ranked(df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull()), by, ["_v"])
+    at = F.lit(0.95) * (F.col("_n") + 1)
+    k = F.greatest(F.lit(1), F.least(F.floor(at).cast("int"), F.col("_n") - 1))
+    g = r.groupBy(*by).agg(F.max("_n").cast("int").alias("n"), F.max("_v").alias("most"), F.max(at - k).alias("part"), at_rank("_v", k - 1).alias("lo"), at_rank("_v", k).alias("hi"), F.sum("_v").alias("total"))
+    inner = F.col("lo") + F.col("part") * (F.col("hi") - F.col("lo"))
+    return g.select(*by, F.when(F.col("n") < 20, F.col("most")).otherwise(inner).alias("p95"), "total", "n")
 
 
 def metric_means(df: DataFrame, metrics: Sequence[str], by: str) -> DataFrame:
@@ -56,20 +64,27 @@ def issue_cube(issues: DataFrame, a: str, b: str) -> DataFrame:
 
 def step_sample(df: DataFrame, stratum: str, order: Sequence[str], size: int) -> DataFrame:
     """From each stratum the rows int(i * n / size), i = 0 … size - 1; all rows of smaller strata."""
-    w = Window.partitionBy(stratum)
-    ranked = df.withColumns({"_i": F.row_number().over(w.orderBy(*order)) - 1, "_n": F.count("*").over(w)})
+    r = ranked(df, [stratum], list(order))
     # row r is picked if some i has floor(i * n / size) = r: the least i that reaches r is ceil(r * size / n)
-    i = F.ceil(F.col("_i") * size / F.col("_n"))
-    hit = (i < size) & (F.floor(i * F.col("_n") / size) == F.col("_i"))
-    return ranked.filter((F.col("_n") <= size) | hit).drop("_i", "_n")
+    i = F.ceil(F.col("_rank") * size / F.col("_n"))
+    hit = (i < size) & (F.floor(i * F.col("_n") / size) == F.col("_rank"))
+    return r.filter((F.col("_n") <= size) | hit).drop("_rank", "_n")
+
 
+def quota_sample(df: DataFrame, stratum: str, order: Sequence[str], total: int, exact: bool = False) -> DataFrame:
+    """The first rows of each stratum, by its share of ``total`` (half-even).
 
-def quota_sample(df: DataFrame, stratum: str, order: Sequence[str], total: int) -> DataFrame:
-    """The first rows of each stratum, by its share of ``total`` (half-even)."""
+    With ``exact``, rows are added in order, or taken off the end of the last strata, until there are ``total``. No stratum
+    gives more than ``total``, which bounds what leaves a task.
+    """
     sizes = df.groupBy(stratum).agg(F.count("*").alias("_n"))
-    sizes = sizes.withColumn("_quota", F.bround(F.lit(float(total)) * F.col("_n") / F.sum("_n").over(Window.partitionBy())))
-    ranked = df.withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy(*order)))
-    return ranked.join(sizes, stratum).filter(F.col("_r") <= F.col("_quota")).drop("_r", "_n", "_quota")
+    sizes = sizes.withColumn("_quota", F.bround(F.lit(float(total)) * F.col("_n") / F.sum("_n").over(Window.partitionBy()))).withColumnRenamed(stratum, "_stratum")
+    first = df.withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy(*order))).filter(F.col("_r") <= total)
+    quota = first.join(sizes, F.col(stratum).eqNullSafe(F.col("_stratum"))).withColumn("_in", F.col("_r") <= F.col("_quota"))
+    if not exact:
+        return quota.filter("_in").select(*df.columns)
+    # those within quota by stratum, then the others in order: the first ``total`` of this list
+    return quota.orderBy(F.desc("_in"), F.when(F.col("_in"), F.col("_stratum")), F.when(F.col("_in"), F.col("_r")), *order).limit(total).select(*df.columns)
 
 
 def first_per(df: DataFrame, by: Sequence[str], order: Sequence, n: int) -> DataFrame:
@@ -107,11 +122,11 @@ def ngrams(xs: Column, n: int) -> Column:
 def repetition(docs: DataFrame, n: int = 4) -> DataFrame:
     """Share of surplus occurrences among a text's n-grams; 0 below 50 words. Suspicious above 0.25."""
     w = docs.select("doc_id", words_of(F.col("text")).alias("w"))
-    grams = w.filter(F.size("w") >= 50).select("doc_id", F.explode(ngrams(F.col("w"), n)).alias("g"))
-    per = grams.groupBy("doc_id", "g").agg(F.count("*").alias("c")).groupBy("doc_id").agg(F.sum("c").alias("grams"), F.sum(F.when(F.col("c") > 1, F.col("c") - 1).otherwise(0)).alias("surplus"))
-    out = w.select("doc_id", F.size("w").alias("n_words")).join(per, "doc_id", "left")
-    score = F.coalesce(F.col("surplus") / F.col("grams"), F.lit(0.0))
-    return out.select("doc_id", "n_words", score.alias("repetition"), (score > 0.25).alias("suspicious"))
+    # as strings, so that equal ones are found by hash; a document is looked at alone and nothing is shuffled
+    grams = F.when(F.size("w") >= 50, F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.array_join(F.slice("w", i, F.lit(n)), " ")))
+    out = w.select("doc_id", F.size("w").alias("n_words"), grams.alias("g"))
+    score = F.coalesce((F.size("g") - F.size(F.array_distinct("g"))) / F.size("g"), F.lit(0.0))
+    return out.select("doc_id", "n_words", F.when(F.col("g").isNull(), 0.0).otherwise(score).alias("repetition")).withColumn("suspicious", F.col("repetition") > 0.25)
 
 
 def text_hash(text: Column) -> Column:
@@ -121,9 +136,9 @@ def text_hash(text: Column) -> Column:
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """Each document with its text's hash, the first document that has it, and how many do."""
-    w = Window.partitionBy("text_hash")
     h = docs.select("doc_id", text_hash(F.col("text")).alias("text_hash"))
-    return h.withColumns({"first_doc": F.min("doc_id").over(w), "copies": F.count("*").over(w), "is_duplicate": F.row_number().over(w.orderBy("doc_id")) > 1})
+    groups = h.groupBy("text_hash").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"))
+    return h.join(groups, "text_hash").withColumn("is_duplicate", F.col("doc_id") != F.col("first_doc")).select("doc_id", "text_hash", "first_doc", "copies", "is_duplicate")
 
 
 def recurring_lines(docs: DataFrame, edge: int = 3, least: int = 2, longer_than: int = 4) -> DataFrame:
@@ -193,3 +208,69 @@ def paired_means(pairs: DataFrame, before: str, after: str) -> DataFrame:
     mean = lambda m: F.bround(100 * F.avg(F.coalesce(F.element_at(m, F.col("metric")), F.lit(0.0))), 2)
     out = each.groupBy("metric").agg(F.count("*").alias("n"), mean(before).alias("before"), mean(after).alias("after"))
     return out.withColumn("change", F.bround(F.col("after") - F.col("before"), 2))
+
+
+def is_hard(table_pages: Column, ocr_pages: Column, column_pages: Column, confidence: Column, least: float = 0.80) -> Column:
+    """Documents with tables or recognised pages, or with columns that were detected without confidence."""
+    return (F.size(table_pages) > 0) | (F.size(ocr_pages) > 0) | ((F.size(column_pages) > 0) & (confidence < least))
+
+
+def is_low(verdict: Column, metrics: Column, threshold: float, besides: Sequence[str] = ("tables", "scans_ocr")) -> Column:
+    """Failed, or any measured metric but ``besides`` below the threshold."""
+    low = F.exists(F.map_entries(metrics), lambda m: ~m.key.isin(*besides) & F.coalesce(m.value < threshold, F.lit(False)))
+    return (F.upper(verdict) == "FAIL") | F.coalesce(low, F.lit(False))
+
+
+def priority(rules: Sequence[tuple[Column, int]]) -> Column:
+    """Sum of the points of the rules that hold."""
+    return sum((F.when(c, n).otherwise(0) for c, n in rules[1:]), F.when(rules[0][0], rules[0][1]).otherwise(0))
+
+
+def most_urgent(df: DataFrame, score: Column, order: Sequence[str], least: int = 6, rows: int = 250) -> DataFrame:
+    """The report of the ``rows`` highest scores from ``least`` on, in order on ties."""
+    return df.withColumn("score", score).filter(F.col("score") >= least).orderBy(F.desc("score"), *order).limit(rows)
+
+
+def with_manifest(files: DataFrame, manifest: DataFrame, key: str = "sha256") -> DataFrame:
+    """Files with what the manifest says of their content, one entry a content; files of unknown or no content are left out."""
+    return files.join(manifest.filter(F.col(key).isNotNull()).dropDuplicates([key]), key)
+
+
+def slice_rows(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFrame:
+    return df.orderBy(*order).offset(offset).limit(limit)
+
+
+def deterministic(runs: DataFrame, key: str, digest: str) -> DataFrame:
+    """Of each key the number of runs, of distinct results, and whether there is just one."""
+    return runs.groupBy(key).agg(F.count("*").alias("runs"), F.countDistinct(digest).alias("results")).withColumn("deterministic", F.col("results") == 1)
+
+
+def first_seen(items: DataFrame, key: str, item: str, place: str) -> DataFrame:
+    """A key's distinct items in the order in which they first occur."""
+    first = items.groupBy(key, item).agg(F.min(place).alias("_at"))
+    return first.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", item))), lambda x: x[item]).alias("items"))
+
+
+def peaks(samples: DataFrame, run: str, at: str, measures: Sequence[str], window: str = "1 hour") -> DataFrame:
+    """The largest value of each measure by run and window, and (window null) by run."""
+    by_window = samples.groupBy(run, F.window(at, window).start.alias("window_start")).agg(*[F.max(m).alias(m) for m in measures])
+    return by_window.unionByName(samples.groupBy(run).agg(*[F.max(m).alias(m) for m in measures]).withColumn("window_start", F.lit(None).cast(samples.schema[at].dataType)))
+
+
+def run_metrics(pages: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Pages, and counts by route and by status, of each group, from pages(route, status, ...)."""
+    per = pages.groupBy(*by, "route", "status").agg(F.count("*").alias("n"))
+    count = lambda c: F.map_from_entries(F.array_sort(F.collect_list(F.struct(c, "n"))))
+    routes = per.groupBy(*by, "route").agg(F.sum("n").alias("n")).groupBy(*by).agg(F.sum("n").alias("pages"), count("route").alias("by_route"))
+    return routes.join(per.groupBy(*by, "status").agg(F.sum("n").alias("n")).groupBy(*by).agg(count("status").alias("by_status")), list(by))
+
+
+def rates(documents: DataFrame, pages: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Documents, pages, seconds, ms a page, pages and documents a second: documents(doc_id, seconds) by pages(doc_id).
+
+    A rate without time or pages is null.
+    """
+    n = pages.groupBy("doc_id").agg(F.count("*").alias("_pages"))
+    g = documents.join(n, "doc_id", "left").groupBy(*by).agg(F.count("*").alias("docs"), F.coalesce(F.sum("_pages"), F.lit(0)).alias("pages"), F.sum("seconds").alias("seconds"))
+    over = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
+    return g.withColumns({"ms_per_page": 1000 * over("seconds", "pages"), "pages_per_second": over("pages", "seconds"), "docs_per_second": over("docs", "seconds")})

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions.text_rules import is_idempotent
 from pagemill.operators import analytics, documents, layout, ledger, routing, tables
-from pagemill.session import table
+from pagemill.session import shared_dir, table
 from pagemill.sources import loaders
 from pagemill.streaming import ingest
 
@@ -35,7 +34,7 @@ def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_suppkey, list_sort(list(l_quantity))[count(*) // 2 + 1] AS upper_median FROM lineitem GROUP BY l_suppkey")
 def upper_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(analytics.upper_median(F.col("l_quantity")).alias("upper_median"))
+    return analytics.upper_median(table(spark, sf_dir, "lineitem"), ["l_suppkey"], "l_quantity")
 
 
 @query("""WITH g AS (SELECT o_custkey, list_sort(list(o_totalprice)) AS x, count(*) AS n FROM orders GROUP BY o_custkey), p AS (SELECT *, 0.95::DOUBLE * (n + 1) AS pos, greatest(1, least(floor(0.95::DOUBLE * (n + 1)), n - 1))::BIGINT AS k FROM g)
@@ -98,10 +97,8 @@ def recent_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE score >= 6 ORDER BY score DESC, l_orderkey, l_linenumber LIMIT 250""")
 def issue_priority_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 250 lines of the highest issue score; a top-k report."""
-    when = lambda c, n: F.when(c, n).otherwise(0)
-    score = F.when(F.col("l_returnflag") == "R", 10).when(F.col("l_returnflag") == "A", 3).otherwise(0) + when(F.col("l_linestatus") == "O", 5) + when(F.col("l_discount") > 0.05, 4) + when(F.col("l_tax") > 0.04, 4) + when(F.col("l_quantity") < 10, 3)
-    t = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", score.alias("score")).filter(F.col("score") >= 6)
-    return t.orderBy(F.desc("score"), "l_orderkey", "l_linenumber").limit(250)
+    rules = [(F.col("l_returnflag") == "R", 10), (F.col("l_returnflag") == "A", 3), (F.col("l_linestatus") == "O", 5), (F.col("l_discount") > 0.05, 4), (F.col("l_tax") > 0.04, 4), (F.col("l_quantity") < 10, 3)]
+    return analytics.most_urgent(table(spark, sf_dir, "lineitem"), analytics.priority(rules), ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "score")
 
 
 @query("""WITH a AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 4 <> 0)
@@ -411,8 +408,7 @@ def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _checkpoint(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='pagemill-')}"
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
 @query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY ALL")

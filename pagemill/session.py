@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -29,3 +34,26 @@ def get_session(app: str = "pagemill", cores: int | str = "*", partitions: int =
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A Parquet table of the data folder; ``sf_dir`` may be any path that Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_own: list[str] = []
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Only a local session without it gets one of its own; a cluster gets an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="pagemill-"))
+        atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
+    return f"file://{_own[0]}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back."""
+    path = f"{shared_dir(df.sparkSession)}/pagemill-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

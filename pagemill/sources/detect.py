@@ -34,12 +34,12 @@ MIME = {
     "riff": "application/octet-stream",
     "unknown": "application/octet-stream",
 }
-# First bytes in hexadecimal, type.
+# First bytes, type.
 MAGIC = (
-    ("25504446", "pdf"), ("89504E470D0A1A0A", "png"), ("FFD8FF", "jpg"), ("474946383761", "gif"), ("474946383961", "gif"),
-    ("49492A00", "tiff"), ("4D4D002A", "tiff"), ("7B5C727466", "rtf"), ("52494646", "riff"),
+    (b"%PDF-", "pdf"), (b"\x89PNG\r\n\x1a\n", "png"), (b"\xff\xd8\xff", "jpg"), (b"GIF87a", "gif"), (b"GIF89a", "gif"),
+    (b"II*\x00", "tiff"), (b"MM\x00*", "tiff"), (b"{\\rtf", "rtf"), (b"RIFF", "riff"),
 )
-ZIP_MAGIC = ("504B0304", "504B0506", "504B0708")
+ZIP_MAGIC = (b"PK\x03\x04", b"PK\x05\x06", b"PK\x07\x08")
 # Member prefix, type; the first that occurs decides.
 MEMBERS = (("word/", "docx"), ("xl/", "xlsx"), ("ppt/", "pptx"), ("META-INF/", "epub"))
 HEAD = 8192
@@ -94,7 +94,7 @@ def sniff(text: Column) -> Column:
     return (
         F.when(lead.startswith("<?xml"), kind("xml", 0.92))
         .when(starts(low, "<!doctype", "<html", "<head"), kind("html", 0.95))
-        .when(lead.rlike('^[\\[{"tfnN0-9I-]') & is_json(text), kind("json", 0.97))
+        .when(F.coalesce(is_json(F.when(lead.rlike('^[\\[{"tfnN0-9I-]'), text)), F.lit(False)), kind("json", 0.97))
         .when(starts(lead, "# ", "## ", "### ", "```", "* ", "- "), kind("markdown", 0.8))
         .when(mark == "\t", kind("tsv", 0.9)).when(mark == ",", kind("csv", 0.88))
         .otherwise(kind("plaintext", 0.55))
@@ -110,18 +110,18 @@ def _any(conditions: list[Column]) -> Column:
 
 def detect(content: Column, name: Column) -> Column:
     """struct<slug, mime, probe, confidence, declared, unresolved>."""
-    hexa = lambda x: F.expr(f"X'{x}'")
+    raw = lambda x: F.lit(bytearray(x))
     found = lambda slug, probe, confidence, lost=False: F.struct(slug.alias("slug"), F.lit(probe).alias("probe"), (confidence if isinstance(confidence, Column) else F.lit(confidence)).alias("confidence"), F.lit(lost).alias("unresolved"))
     head = F.regexp_replace(F.make_valid_utf8(F.substring(content, 1, HEAD).cast("string")), "^\\uFEFF", "")
     text = F.regexp_replace(head, "\\uFFFD", "")
     result = F.when(content.isNull() | (F.length(content) == 0), found(F.lit("unknown"), "empty", 0.0, True))
     for magic, slug in MAGIC:
-        result = result.when(F.startswith(content, hexa(magic)), found(F.lit(slug), "magic", 0.99))
-    is_zip = _any([F.startswith(content, hexa(x)) for x in ZIP_MAGIC])
+        result = result.when(F.startswith(content, raw(magic)), found(F.lit(slug), "magic", 0.99))
+    is_zip = _any([F.startswith(content, raw(x)) for x in ZIP_MAGIC])
     kind = zip_kind(F.when(is_zip, content))
     result = result.when(is_zip, found(kind, "container", F.when(kind == "zip", 0.7).otherwise(0.92)))
     seen = sniff(text)
-    result = result.when(~F.contains(F.substring(content, 1, 4096), hexa("00")), found(seen.slug, "sniff", seen.confidence))
+    result = result.when(~F.contains(F.substring(content, 1, 4096), raw(b"\0")), found(seen.slug, "sniff", seen.confidence))
     result = result.otherwise(found(F.lit("unknown"), "unknown", 0.0, True))
     mime = F.element_at(F.create_map(*[F.lit(x) for kv in MIME.items() for x in kv]), result.slug)
     return F.struct(result.slug.alias("slug"), mime.alias("mime"), result.probe.alias("probe"), result.confidence.alias("confidence"), declared_extension(name).alias("declared"), result.unresolved.alias("unresolved"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import csv
-import html.parser
 import io
 import json
 import re
@@ -37,44 +36,20 @@ def document_id(sha256: Column) -> Column:
     return F.concat(F.lit("d-"), F.substring(sha256, 1, 16))
 
 
-class _Markup(html.parser.HTMLParser):
-    """Blocks of a page: a block tag ends the one before; text of scripts, styles and titles is dropped."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.found: list[tuple[str, str]] = []
-        self.parts: list[str] = []
-        self.tag, self.silent = "p", 0
-
-    def end_block(self, tag: str = "p") -> None:
-        text = "".join(self.parts).strip()
-        if text:
-            self.found.append(("heading" if self.tag[0] == "h" else "list_item" if self.tag == "li" else "paragraph", text))
-        self.parts, self.tag = [], tag
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        self.silent += tag in _HTML_SILENT
-        if tag in _HTML_BLOCKS:
-            self.end_block(tag)
-        elif tag == "br":
-            self.parts.append("\n")
-
-    def handle_endtag(self, tag: str) -> None:
-        self.silent = max(0, self.silent - (tag in _HTML_SILENT))
-        if tag in _HTML_BLOCKS:
-            self.end_block()
-
-    def handle_data(self, data: str) -> None:
-        if not self.silent:
-            self.parts.append(data)
+_TAG = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
+_UNSEEN = re.compile(rf"(?is)<!--.*?(?:-->|\Z)|<({'|'.join(sorted(_HTML_SILENT))})\b{_TAG}>.*?(?:</\1\s*>|\Z)")
+_LINE_END = re.compile(r"(?i)<br\b[^>]*>")
+_BLOCK_TAG = re.compile(rf"(?is)<(/?)({'|'.join(sorted(_HTML_BLOCKS))})\b{_TAG}>")
+_ANY_TAG = re.compile(rf"(?s)</?[A-Za-z]{_TAG}>|<[!?][^>]*>")
 
 
 def html_blocks(text: str) -> list[tuple[int, str, str]]:
-    p = _Markup()
-    p.feed(text)
-    p.close()
-    p.end_block()
-    return [(i, kind, t) for i, (kind, t) in enumerate(p.found)]
+    """A page cut at every block tag; a piece has the kind of the tag that opens it. Scripts, styles, titles and comments go."""
+    seen = _LINE_END.sub("\n", _UNSEEN.sub("", text))
+    first, *rest = _BLOCK_TAG.split(seen)
+    kinds = ["paragraph"] + ["paragraph" if closes else "heading" if tag[0] in "hH" else "list_item" if tag.lower() == "li" else "paragraph" for closes, tag in zip(rest[::3], rest[1::3], strict=True)]
+    said = [unescape(_ANY_TAG.sub("", piece)).strip() for piece in (first, *rest[2::3])]
+    return [(i, kind, t) for i, (kind, t) in enumerate((k, t) for k, t in zip(kinds, said, strict=True) if t)]
 
 
 def markdown_blocks(text: str) -> list[tuple[int, str, str]]:
