@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Words that open a section, how numbered sections and references begin, running heads and feet.
+SECTIONS = ("Abstract", "Introduction", "Methods", "Results", "Discussion", "Conclusion", "References")
+NUMBERED_SECTION, REFERENCE_MARK = r"[0-9]+(?:\.[0-9]+)*\s+[A-Z]", r"^\[[0-9]+\]|^[0-9]+\.\s+[A-Z]"
+RUNNING_HEADS = ("RESEARCH ARTICLE", "EDITORIAL COMMENTARY", "REVIEW ARTICLE")
+RUNNING_FOOT = r"(?i)\bdoi:\s*10\.\d{4,9}/|\b\d+\s*/\s*\d+\s*$|^Page\s+\d+\s+of\s+\d+$"
+SHORT_TITLE = 60
+
 BLANK = "(?U)^[\\s\\x1C-\\x1F]+|[\\s\\x1C-\\x1F]+$"
 
 
@@ -63,3 +70,50 @@ def table_of_contents(pages: DataFrame) -> DataFrame:
     """Blocks, then tables, then images of each page, numbered through the document."""
     rank = F.element_at(F.create_map(F.lit("block"), F.lit(0), F.lit("table"), F.lit(1), F.lit("image"), F.lit(2)), F.col("type"))
     return pages.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy("page", rank, "seq")) - 1)
+
+
+def is_title_case(text: Column) -> Column:
+    """Every run of letters has one capital, the first; at least one letter."""
+    return text.rlike("\\p{L}") & ~text.rlike("(?<!\\p{L})[\\p{Ll}]|\\p{L}[\\p{Lu}\\p{Lt}]")
+
+
+def block_kind(text: Column) -> Column:
+    """heading, reference or paragraph, from the text alone."""
+    t = stripped(F.coalesce(text, F.lit("")))
+    opens = t.rlike(rf"(?i)^(?:{NUMBERED_SECTION}|(?:{'|'.join(SECTIONS)})\b)")
+    loud = (t == F.upper(t)) & t.rlike("\\p{L}")
+    short = (F.length(t) < SHORT_TITLE) & (loud | is_title_case(t)) & ~t.endswith(".")
+    return F.when(t == "", "paragraph").when(opens | short, "heading").when(t.rlike(REFERENCE_MARK), "reference").otherwise("paragraph")
+
+
+def margin_line(line: Column, title: Column | None = None) -> Column:
+    """header for running heads and the document's own title, footer for page numbers and identifiers, else null."""
+    t = stripped(line)
+    plain = stripped(F.regexp_replace(t, "^#+", ""))
+    running = F.upper(plain).isin(*RUNNING_HEADS)
+    if title is not None:
+        running = running | F.coalesce((F.length(plain) > 10) & (F.lower(plain) == F.lower(title)), F.lit(False))
+    return F.when(t == "", None).when(running, "header").when(t.rlike(RUNNING_FOOT), "footer")
+
+
+def shape(text: Column) -> Column:
+    """struct<has_text, punctuation (share), n_lines, n_words, upper, title> of a text."""
+    n = F.length(text)
+    share = F.when(n > 0, (n - F.length(F.regexp_replace(text, "[.,;:!?]", ""))) / n).otherwise(0.0)
+    words = F.size(F.regexp_extract_all(text, F.lit("(?U)[^\\s]+"), F.lit(0)))
+    return F.struct((n > 0).alias("has_text"), share.alias("punctuation"), F.size(F.split(text, "\n", -1)).alias("n_lines"), words.alias("n_words"), ((text == F.upper(text)) & text.rlike("\\p{L}")).alias("upper"), is_title_case(text).alias("title"))
+
+
+def without_text(pages: DataFrame, most: int | None = 16) -> DataFrame:
+    """Pages without text, which need recognition; of a document the first ``most`` (None: all). pages(doc_id, page, chars)"""
+    bare = pages.filter(F.coalesce("chars", F.lit(0)) == 0)
+    if most is None:
+        return bare
+    return bare.withColumn("_k", F.row_number().over(Window.partitionBy("doc_id").orderBy("page"))).filter(F.col("_k") <= most).drop("_k")
+
+
+def downscaled(width: Column, height: Column, longest: int = 2000) -> Column:
+    """struct<width, height, scale> with the longer edge at most ``longest``."""
+    scale = F.least(F.lit(1.0), F.lit(float(longest)) / F.greatest(width, height))
+    at = lambda x: F.greatest(F.lit(1), F.bround(x * scale).cast("int"))
+    return F.struct(at(width).alias("width"), at(height).alias("height"), scale.alias("scale"))

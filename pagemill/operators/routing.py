@@ -31,6 +31,8 @@ WEIGHTS = {
 # Tiers with their score bands, and the confidence below which the next tier takes over.
 TIERS = (("native", 0, 30, 0.50), ("enrichment", 31, 60, 0.35), ("docling", 61, 100, 0.0))
 POOR_TEXT, FULL_IMAGE = 30, 0.9
+# Parts of the names of usual fonts.
+USUAL_FONTS = ("helv", "times", "tiro", "nimbus", "arial", "courier", "symbol")
 #: Sums in decimals do not depend on the order of rows, so neither do rounded scores.
 EXACT = "decimal(28,12)"
 
@@ -119,6 +121,14 @@ def _signal(name: str, value: Column, applies: Column | None = None, known: Colu
     return F.struct(F.lit(f"metric_{name}").alias("name"), F.when(status == "ok", value.cast("double")).alias("value"), status.alias("status"))
 
 
+#: Feature columns that a table need not have; without them their signals are missing.
+OPTIONAL = {"text_ratio": "double", "images": "long", "pdf_version": "double", "encrypted": "boolean", "has_outline": "boolean", "has_tag": "boolean", "producer": "string"}
+
+
+def _given(name: str) -> Column:
+    return F.col(name).cast(OPTIONAL[name])
+
+
 def _rounded(x: Column) -> Column:
     """At most 1, half-even at 3; least() alone would pass over a null."""
     return F.when(x.isNotNull(), F.bround(F.least(F.lit(1.0), x), 3))
@@ -139,13 +149,21 @@ def text_detector() -> list[Column]:
     total = F.aggregate(chars, F.lit(0).cast("long"), lambda a, v: a + v)
     least = F.array_min(chars)
     density = F.when(total == 0, 1.0).when(least >= POOR_TEXT, 0.0).otherwise(1 - least / 2000)
-    return [_signal("total_char_count", total), _signal("char_per_page", F.bround(total / F.greatest(F.col("pages"), F.lit(1)), 2)), _signal("low_text_ratio", F.bround(_share(chars, lambda c: c < POOR_TEXT), 3)), _signal("low_char_density", F.bround(density, 3))]
+    return [
+        _signal("total_char_count", total), _signal("char_per_page", F.bround(total / F.greatest(F.col("pages"), F.lit(1)), 2)), _signal("text_ratio", F.bround(_given("text_ratio"), 4)),
+        _signal("low_text_ratio", F.bround(_share(chars, lambda c: c < POOR_TEXT), 3)), _signal("low_char_density", F.bround(density, 3)),
+    ]
 
 
 def image_detector() -> list[Column]:
     bare = F.filter(F.arrays_zip("image_ratio", "chars"), lambda x: x.chars == 0)
     scanned = F.coalesce(F.array_max(F.transform(bare, lambda x: x.image_ratio)), F.lit(0.0))
-    return [_signal("image_density", F.bround(F.least(F.lit(1.0), _mean(F.col("image_ratio"))), 3)), _signal("scanned_page_probability", F.bround(scanned, 3))]
+    n = _given("images")
+    return [
+        _signal("image_count", n), _signal("images_per_page", F.bround(n / F.greatest(F.col("pages"), F.lit(1)), 3)),
+        _signal("full_image_page_count", F.size(F.filter("image_ratio", lambda r: r >= FULL_IMAGE))),
+        _signal("image_density", F.bround(F.least(F.lit(1.0), _mean(F.col("image_ratio"))), 3)), _signal("scanned_page_probability", F.bround(scanned, 3)),
+    ]
 
 
 def layout_detector() -> list[Column]:
@@ -178,11 +196,24 @@ def reading_order_detector() -> list[Column]:
 
 
 def font_detector() -> list[Column]:
-    return [_signal("font_diversity", F.bround(F.least(F.lit(1.0), F.size("fonts") / 8), 3), applies=F.size("fonts") > 0)]
+    usual = lambda f: F.exists(F.array(*map(F.lit, USUAL_FONTS)), lambda u: F.contains(F.lower(f), u))
+    some = F.size("fonts") > 0
+    return [
+        _signal("font_diversity", F.bround(F.least(F.lit(1.0), F.size("fonts") / 8), 3), applies=some),
+        _signal("unusual_font", F.exists("fonts", lambda f: ~usual(f)).cast("double"), applies=some), _signal("font_embedded", some.cast("double"), applies=some),
+    ]
 
 
 def metadata_detector() -> list[Column]:
-    return [_signal("title_present", F.when(F.col("title") != "", 1.0).when(F.col("title").isNotNull(), 0.0))]
+    """Presence of a file's own data; a version counts as its number, a producer only where there is one."""
+    flag = lambda c: _given(c).cast("boolean").cast("double")
+    version = _given("pdf_version").cast("double")
+    made_by = F.when(F.coalesce(_given("producer"), F.lit("")) != "", 1.0)
+    return [
+        _signal("foundation_meta_available", version.isNotNull().cast("double")), _signal("pdf_version", version), _signal("encrypted", flag("encrypted")),
+        _signal("producer_present", made_by), _signal("has_outline", flag("has_outline")), _signal("has_tag", flag("has_tag")),
+        _signal("title_present", F.when(F.col("title") != "", 1.0).when(F.col("title").isNotNull(), 0.0)),
+    ]
 
 
 DETECTORS: dict[str, Callable[[], list[Column]]] = {
@@ -196,11 +227,34 @@ def register_detector(name: str, detector: Callable[[], list[Column]]) -> None:
 
 
 def detect(features: DataFrame) -> DataFrame:
-    """Feature rows -> signal rows, in the detectors' order; one projection, no join."""
-    every = [s for d in DETECTORS.values() for s in d()]
+    """Feature rows -> signal rows, in the detectors' order; one projection, no join.
+
+    A detector that can't be built, or doesn't fit the table, gives one signal with status failed and stops no other.
+    """
+    features = features.withColumns({c: F.lit(None).cast(t) for c, t in OPTIONAL.items() if c not in features.columns})
+    every: list[Column] = []
+    for name, detector in DETECTORS.items():
+        try:
+            signals = detector()
+            features.select(*signals)  # resolves the columns; nothing is run
+        except Exception:  # noqa: BLE001 - whatever a plugged-in detector does wrong is its own failure
+            signals = [F.struct(F.lit("metric_detector_failed").alias("name"), F.lit(None).cast("double").alias("value"), F.lit("failed").alias("status"))]
+        every += [F.struct(F.lit(name).alias("detector"), s["name"].alias("name"), s["value"].alias("value"), s["status"].alias("status")) for s in signals]
     return features.select("doc_id", F.posexplode(F.array(*every)).alias("place", "s")).select("doc_id", "place", "s.*")
 
 
+def decision_records(signals: DataFrame, weights: DataFrame, scorer: Callable[[DataFrame, DataFrame], DataFrame] = score) -> DataFrame:
+    """Decisions as records: score, confidence, route, unknown, reasons, signals by status, and whether a detector failed.
+
+    ``scorer`` may be any function with the arguments and columns of ``score``.
+    """
+    status = [F.sum((F.col("status") == x).cast("int")).alias(f"n_{x}") for x in ("ok", "missing", "failed", "not_applicable")]
+    states = signals.groupBy("doc_id").agg(*status, F.count("name").alias("_n"))
+    d = scorer(signals, weights).join(states, "doc_id").join(reasons(signals, weights), "doc_id", "left")
+    d = d.withColumn("confidence", F.when(F.col("_n") == 0, F.lit(0.05)).otherwise(F.col("confidence")))
+    return d.withColumn("route", F.when(F.col("_n") == 0, "native").otherwise(tier(F.col("score"), F.col("confidence")))).withColumn("detector_failed", F.col("n_failed") > 0).drop("_n")
+
+
 def is_evidence(status: Column, value: Column) -> Column:
     return (status == "ok") & value.isNotNull()
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagemill.plans import table_queries, text_queries
+from pagemill.plans import document_queries, table_queries, text_queries
 
-QUERIES: dict = text_queries.QUERIES | table_queries.QUERIES
-ORACLE_SQL: dict[str, str] = text_queries.SQL | table_queries.SQL
+QUERIES: dict = text_queries.QUERIES | table_queries.QUERIES | document_queries.QUERIES
+ORACLE_SQL: dict[str, str] = text_queries.SQL | table_queries.SQL | document_queries.SQL

@@ -169,7 +169,10 @@ def route_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.statistics(routing.decide(_signals(spark, sf_dir), routing.weights_table(spark)))
 
 
-@query()
+@query("""WITH s AS (SELECT user_id AS doc_id, event_id, ['metric_scanned_page_probability', 'metric_table_probability', 'metric_reading_order_ambiguity', 'metric_ocr_required', 'metric_other'][event_id % 5 + 1] AS name, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value / 100 END AS value FROM events),
+f AS (SELECT doc_id, name, event_id, value FROM s WHERE name <> 'metric_other' QUALIFY row_number() OVER (PARTITION BY doc_id, name ORDER BY event_id) = 1),
+t AS (SELECT doc_id, event_id, CASE WHEN value >= 0.5 THEN 'high ' || name || ' (' || round(value::DECIMAL(18,8), 2)::DECIMAL(18,2)::VARCHAR || ')' WHEN value IS NULL THEN name || ' not measured (missing)' END AS t FROM f)
+SELECT d.doc_id, coalesce(list_slice(list(t ORDER BY event_id) FILTER (WHERE t IS NOT NULL), 1, 8), []) AS reasons FROM (SELECT DISTINCT doc_id FROM s) d LEFT JOIN t USING (doc_id) GROUP BY d.doc_id""")
 def route_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.reasons(_signals(spark, sf_dir), routing.weights_table(spark))
 

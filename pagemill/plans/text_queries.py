@@ -243,6 +243,23 @@ def embed_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.embed_missing(d, known, embedding.hash_embedder).select("doc_id", "reused")
 
 
+@query("SELECT doc_id, doc_id % 3 <> 0 AS reused, CASE WHEN doc_id % 3 = 0 THEN 24 ELSE 1 END::INTEGER AS dim, CASE WHEN doc_id % 3 = 0 AND length(text) > 0 THEN round((2 * length(text) - 1)::DOUBLE / length(text), 6) ELSE 0 END::DOUBLE AS mass FROM documents")
+def embed_whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``embed_missing``, with vectors of whole texts: a text of n characters has n of them and n - 1 pairs in its bins."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.lit(0).alias("seq"), F.col("doc_id").cast("string").alias("chunk_id"), F.coalesce("text", F.lit("")).alias("text"))
+    known = d.filter(F.col("doc_id") % 3 != 0).select("chunk_id", F.array(F.lit(0.0)).alias("vec"))
+    mass = F.aggregate("vec", F.lit(0.0), lambda a, v: a + v)
+    return embedding.embed_missing(d, known, lambda: embedding.hash_embedder(24)).select("doc_id", "reused", F.size("vec").alias("dim"), F.round(mass, 6).alias("mass"))
+
+
+@query("SELECT count(*) AS blocks, 0::BIGINT AS exceptions FROM (WITH " + LINES + " SELECT text FROM lines WHERE text <> '')")
+def blocks_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second pass of the rules over all text blocks changes none."""
+    b = documents.text_blocks(table(spark, sf_dir, "documents"))
+    again = text_rules.is_idempotent(F.col("text"))
+    return b.select(again.alias("same")).agg(F.count("*").alias("blocks"), F.sum((~F.col("same")).cast("long")).alias("exceptions"))
+
+
 @query("""WITH pg AS (SELECT doc_id, i AS page_no, list_filter(list_transform(string_split(ps[i], chr(10)), lambda x: trim(x)), lambda x: x <> '') AS ls FROM (SELECT doc_id, string_split(text, chr(10)) AS ps FROM documents), unnest(range(1, len(ps) + 1)) AS t(i)),
 e AS (SELECT doc_id, page_no, unnest(list_distinct(ls)) AS line FROM pg)
 SELECT doc_id, line, count(*) AS pages FROM e WHERE length(line) > 4 GROUP BY doc_id, line HAVING count(*) >= 2""")
@@ -273,9 +290,10 @@ QUALIFY row_number() OVER (PARTITION BY source, n ORDER BY length(text) DESC, k)
 def best_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of entries with one number in a source the longest, the first on ties."""
     n = (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) % 9).cast("string")
-    d = table(spark, sf_dir, "documents").select(F.col("source"), n.alias("number"), F.trim(F.split("text", "\n", -1)[0]).alias("text"), F.col("doc_id"))
-    b = d.withColumnRenamed("source", "s").groupBy("s", "number").agg(F.max_by(F.struct("doc_id", "text"), F.struct(F.length("text"), -F.col("doc_id"))).alias("b"))
-    return b.select("b.doc_id", F.concat(F.lit("["), "number", F.lit("]")).alias("label"), "b.text")
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("s"), n.alias("number"), F.trim(F.split("text", "\n", -1)[0]).alias("text"), "doc_id")
+    best = references.best_entries(d.select(F.col("s").alias("doc_id"), "number", F.col("doc_id").alias("seq"), "text")).withColumnRenamed("doc_id", "s")
+    first = d.join(best, ["s", "number", "text"]).groupBy("s", "number", "text").agg(F.min("doc_id").alias("doc_id"))
+    return first.select("doc_id", F.concat(F.lit("["), "number", F.lit("]")).alias("label"), "text")
 
 
 @query("""WITH e AS (SELECT source, doc_id, (row_number() OVER (PARTITION BY source ORDER BY doc_id) % 9)::VARCHAR AS number, text FROM documents)
@@ -287,7 +305,7 @@ def best_whole_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references.best_entries(d).withColumnRenamed("doc_id", "source")
 
 
-@query()
+@query(f"WITH {LINES} SELECT doc_id, '[' || (seq + 1) || ']' AS label, length(text)::INTEGER AS chars FROM lines WHERE text <> ''")
 def bibliographies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a made-up bibliography of all their lines."""
     d = documents.text_blocks(table(spark, sf_dir, "documents"))
@@ -304,7 +322,7 @@ def text_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", (F.length(t) > 0).alias("has_text"), share.alias("punctuation"), F.size(F.split(t, "\n", -1)).alias("n_lines"))
 
 
-@query()
+@query("SELECT l_orderkey AS doc_id, 0 AS seq, count(*)::INTEGER AS n_rows FROM lineitem GROUP BY l_orderkey")
 def continued_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items of an order as one-row tables on pages of their own; all continue the first."""
     t = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("seq"), F.col("l_linenumber").alias("page"), F.array(F.lit("part"), F.lit("flag")).alias("header"), F.array(F.array(F.col("l_partkey").cast("string"), F.col("l_returnflag"))).alias("rows"))
