@@ -50,22 +50,22 @@ GIVEN = (
     "Olivia|Pablo|Paul|Peter|Pierre|Richard|Robert|Sabine|Sarah|Sofia|Sophie|Susan|Thomas|Ursula|William|Wolfgang"
 )
 NAME = r"\p{Lu}\p{Ll}+(?:[-'’]\p{Lu}\p{Ll}+)?"
-PERSON = rf"(?<!\p{{L}})(?:{TITLES}\.?\x20{NAME}(?:\x20{NAME})?|(?:{GIVEN})\x20(?:\p{{Lu}}\.\x20)?{NAME})(?!\p{{L}})"
+PERSON = rf"(?=[A-ZÀ-Þ])(?<!\p{{L}})(?:{TITLES}\.?\x20{NAME}(?:\x20{NAME})?|(?:{GIVEN})\x20(?:\p{{Lu}}\.\x20)?{NAME})(?!\p{{L}})"
 STREET = r"(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Boulevard|Blvd|Drive|Court|Square|Way)"
 ADDRESS = (
     rf"(?<![\p{{L}}\p{{N}}])(?:[0-9]{{1,5}}[a-zA-Z]?\x20(?:{NAME}\x20){{1,3}}{STREET}|{NAME}(?:straße|strasse|weg|platz|allee|gasse)\x20[0-9]{{1,4}}[a-z]?"
     rf"|[0-9]{{1,4}},?\x20(?:rue|avenue|boulevard|place|chemin)\x20(?:(?:de|du|des|la|le)\x20){{0,2}}{NAME}|(?:Calle|Avenida|Plaza|Paseo)\x20(?:(?:de|del|la)\x20){{0,2}}{NAME},?\x20[0-9]{{1,4}})(?![\p{{L}}\p{{N}}])"
 )
 
-#: Of each kind: a cheap test that a text must pass, its pattern, and a pattern that a typical one matches.
+#: Of each kind: a test that a text must pass (it begins with what is rare, so that most places fail at once), its pattern, and a pattern that a typical one matches.
 SOUGHT = {
     "email": ("@", EMAIL, r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@([A-Za-z0-9-]+\.)+[A-Za-z]{2,12}$"),
     "ip": (r"[0-9]\.[0-9]", IP, r"^([1-9]|[1-9][0-9]|1[0-9]{2}|2[01][0-9]|22[0-3])(\.(0|[1-9][0-9]{0,2})){3}$"),
     "card": (r"[0-9][\x20-]?[0-9]", CARD, r"^[2-6][0-9]{3}([\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}$"),
     "phone": ("+", PHONE, r"^\+[1-9][0-9]{0,2}[\x20.-]?(\([0-9]{1,4}\)|[0-9]{1,4})([\x20.-]?[0-9]{2,4}){1,4}$"),
     "secret": ("[0-9]", SECRET, r"^(?=[^A-Za-z]*[A-Za-z])([0-9a-f]{16,}|[0-9A-F]{16,})$|^(sk|pk|ghp|xox[abp]|AKIA|AIza)[A-Za-z0-9_-]{12,}$"),
-    "person": (rf"(?:{TITLES}\.?|{GIVEN})\x20", PERSON, rf"^{TITLES}\.?\x20{NAME}\x20{NAME}$|^(?:{GIVEN})\x20"),
-    "address": (rf"\x20{STREET}(?!\p{{L}})|straße|strasse|weg\x20[0-9]|platz\x20[0-9]|allee\x20|gasse\x20|\x20(?:rue|avenue|boulevard|place|chemin)\x20|Calle|Avenida|Plaza|Paseo", ADDRESS, r"^[0-9]+|[0-9]+[a-z]?$"),
+    "person": (rf"(?=[A-ZÀ-Þ])(?<!\p{{L}})(?:{TITLES}\.?|{GIVEN})\x20\p{{Lu}}", PERSON, rf"^{TITLES}\.?\x20{NAME}\x20{NAME}$|^(?:{GIVEN})\x20"),
+    "address": (r"[0-9](?:[a-zA-Z]?\x20\p{Lu}\p{Ll}|,?\x20(?:rue|avenue|boulevard|place|chemin)\x20|(?<=(?:straße|strasse|weg|platz|allee|gasse)\x20[0-9]))|(?=[CAP])(?:Calle|Avenida|Plaza|Paseo)\x20", ADDRESS, r"^[0-9]+|[0-9]+[a-z]?$"),
 }
 #: Words right before a candidate that speak for its kind, and words that speak for something else.
 INTRODUCE = {
