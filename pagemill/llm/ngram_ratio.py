@@ -12,8 +12,10 @@ documents every ratio is 0; repeated rows count as often as they occur; other co
 Scale: three passes over the texts. The first estimates the distinct n-grams from the ``SAMPLE`` smallest hashes (3 %), the
 second counts, the third scores. Up to ``DENSE`` buckets a task's counts are packed by range of buckets and the ratios
 are an array of 4 bytes a bucket that the driver sends out; beyond, buckets and ratios stay a distributed table that
-the documents' n-grams are joined to, with the same result but a shuffle of all n-grams. Trusted ids are joined by
-merge, which shuffles the texts once.
+the documents' n-grams are joined to, with the same result but a shuffle of all n-grams. Trusted ids set bits of a map
+of at most ``FILTER_BITS``, which is broadcast: a document whose bit is not set is not trusted and stays where it was
+read. The others are joined to the ids by merge, which shuffles their texts alone; at any number of ids the marks are
+exact, only more texts move once the map is full.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ PRIOR = 4.0
 #: Buckets up to which the ratios are one array.
 DENSE = 1 << 24
 SAMPLE, RANGE = 1024, 1 << 15
+#: Bits of the map for each trusted id, and bits at most (32 MB).
+FILTER_LOAD, FILTER_BITS = 16, 1 << 28
 #: Nats per n-gram; text like the trusted text lies near 0.
 THRESHOLD = -0.25
 _SYMBOL = np.zeros(256, bool)
@@ -83,9 +87,20 @@ def distinct_ngrams(docs: DataFrame) -> int:
 
 
 def _marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """text and _trusted: whether the row's doc_id is among the trusted ones."""
+    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    bits = min(FILTER_BITS, 1 << max(15, (FILTER_LOAD * ids.count()).bit_length()))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits)) + 1
+    at, bit = F.bitmap_bucket_number(place).alias("_at"), F.bitmap_bit_position(place)
+    maps = ids.groupBy(at).agg(F.bitmap_construct_agg(bit).alias("_map"))
+    byte = F.conv(F.hex(F.substring("_map", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    perhaps = F.col("doc_id").isNotNull() & F.coalesce(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1, F.lit(False))
+    # the maps have FILTER_BITS bits at most, however many ids there are
+    seen = text_of(docs).select("*", at).join(F.broadcast(maps), "_at", "left").select("doc_id", "text", perhaps.alias("_perhaps"))
+    rest = seen.filter(~F.col("_perhaps")).select("text", F.lit(False).alias("_trusted"))
     # a merge join at every size: the trusted ids grow with the corpus and are not broadcast
-    ids = trusted.select("doc_id").distinct().withColumn("_trusted", F.lit(True)).hint("merge")
-    return text_of(docs).join(ids, "doc_id", "left").select("text", F.coalesce("_trusted", F.lit(False)).alias("_trusted"))
+    asked = seen.filter("_perhaps").join(ids.withColumn("_trusted", F.lit(True)).hint("merge"), "doc_id", "left")
+    return rest.unionByName(asked.select("text", F.coalesce("_trusted", F.lit(False)).alias("_trusted")))
 
 
 def _seen(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

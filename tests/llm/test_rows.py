@@ -151,6 +151,16 @@ def test_rules(spark, labelled, odd_docs, odd_rows, no_docs):
     assert ngram_ratio.judged(no_docs, labels).collect() == []
 
 
+@pytest.mark.parametrize("ids", [[], [0], list(range(-40, 4000, 7)), list(range(0, 200_000, 2))])
+def test_trusted_marks_are_exact(spark, ids, monkeypatch):
+    """Also where the ids fill the map of bits, so that most other documents have to be asked, too."""
+    monkeypatch.setattr(ngram_ratio, "FILTER_BITS", 1 << 15)
+    asked = [*range(-50, 5000), None, None, 3, 3, 199_998, 2**62]
+    docs = make_docs(spark, [(d, None if d == 5 else f"{d}") for d in asked])
+    trusted = spark.createDataFrame([(d,) for d in ids * 2 if d < 10_000] + [(d,) for d in ids if d >= 10_000], "doc_id int")
+    got = Counter((x["text"], x["_trusted"]) for x in ngram_ratio._marked(docs, trusted).collect())
+    assert got == Counter(("" if d == 5 else f"{d}", d in set(ids)) for d in asked)
+
 
 def test_ratios_by_brute_force(spark, monkeypatch):
     """With far more buckets than n-grams they do not collide, and the ratio is the formula over a dictionary."""
