@@ -119,20 +119,20 @@ def candidates(classes: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame
     pairs = pairs.groupBy("rep", "rep_b").agg(F.count("*").alias("shared"), F.min(F.least("meet", "meet_b")).alias("meet")).filter(F.col("shared") >= F.col("meet"))
     edges = pairs.select(F.col("rep").alias("a"), F.col("rep_b").alias("b"))
 
-    # two series of size classes, each of twice the allowed ratio, set off by half: like sizes meet in one
-    step = -2 * math.log(threshold / 100) * (1 + 1e-9) if threshold < 100 else 1.0
-    band = lambda off: F.floor(F.log(F.col("n").cast("double")) / step + off).cast("int")
-    bands = F.explode(F.array(F.struct(F.lit(0).alias("k"), band(0.0).alias("at")), F.struct(F.lit(1).alias("k"), band(0.5).alias("at"))))
-    # a list falls into parts of about TIED members: each is tied to the smallest of its part, and those to the smallest of all
+    # size classes of the square root of the allowed ratio: like sizes lie in one or in neighbouring ones
+    step = -math.log(threshold / 100) * (1 + 1e-9) if threshold < 100 else 0.5
+    # a list falls into parts of about TIED members: each is tied to the smallest of its part and size class, those to the
+    # smallest of two neighbouring size classes
     parts = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("members") / F.lit(float(TIED)))))).cast("long")
-    hot = each.filter(F.col("members") > HOT).select("rep", "v", F.pmod(F.xxhash64("rep"), parts).alias("part"), bands.alias("band"))
+    band = F.floor(F.log(F.col("n").cast("double")) / step)
+    hot = each.filter(F.col("members") > HOT).select("rep", "v", F.pmod(F.xxhash64("rep"), parts).alias("part"), band.alias("band"))
 
     def tied(rows: DataFrame, by: list[str]) -> DataFrame:
         return rows.groupBy(*by).agg(F.min("rep").alias("least"), F.collect_list("rep").alias("all"))
 
     in_parts = tied(hot, ["v", "band", "part"])
-    over_parts = tied(in_parts.select("v", "band", F.col("least").alias("rep")), ["v", "band"])
-    ties = in_parts.select("least", "all").unionByName(over_parts.select("least", "all"))
+    over_parts = in_parts.select("v", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.col("least").alias("rep"))
+    ties = in_parts.select("least", "all").unionByName(tied(over_parts, ["v", "band"]).select("least", "all"))
     ties = ties.filter(F.size("all") > 1).select(F.explode("all").alias("a"), F.col("least").alias("b")).filter(F.col("a") != F.col("b"))
     return edges.unionByName(ties).distinct(), met
 
