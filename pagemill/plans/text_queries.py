@@ -204,8 +204,9 @@ def similar_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def near_dup_trigram_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The forty most similar pairs of documents by shared three-word grams, from 0.4 on; a top-k report."""
-    u = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.array_distinct(analytics.ngrams(analytics.words_of(F.col("text")), 3)).alias("grams"))
-    return analytics.similar_sets(u, 0.4)
+    # words first, else each gram would split its text again; the operator makes grams distinct, by their hashes
+    w = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), analytics.words_of(F.col("text")).alias("w"))
+    return analytics.similar_sets(w.select("id", analytics.ngrams(F.col("w"), 3).alias("grams")), 0.4)
 
 
 @query("SELECT doc_id, lang FROM documents ANTI JOIN labels USING (doc_id)")

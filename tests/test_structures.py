@@ -259,3 +259,18 @@ def test_nearest_vectors(spark, monkeypatch):
             assert repr(sorted(map(tuple, got.collect()), key=lambda x: x[:2])) == _nearest(v, q, 10)
             assert "MapInArrow" in got._jdf.queryExecution().toString()  # rows meet queries in products, not one pair at a time
     assert embedding.top_similar(v.limit(0), q, 3).count() == 0 and embedding.top_similar(v, q.limit(0), 3).count() == 0
+
+
+def test_similar_long_documents(spark, tmp_path):
+    """Texts of some thousand words take about linear time: the plan splits a text once and compares no grams as lists."""
+    import time
+
+    from pagemill.plans import text_queries
+
+    text = lambda i: " ".join(f"w{(k * k + 7 * i * k) % 30011}" for k in range(15_000))
+    rows = [(1, text(1)), (2, text(2)), (3, text(1) + " more"), (4, ""), (5, None), (6, "two words"), (7, "Two words!")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(1).write.parquet(str(tmp_path / "documents.parquet"))
+    began = time.time()
+    got = [(x["id"], x["id_b"], x["jaccard"]) for x in text_queries.near_dup_trigram_pairs(spark, str(tmp_path)).collect()]
+    assert [x[:2] for x in got] == [(1, 3)] and 0.999 < got[0][2] < 1
+    assert time.time() - began < 60
