@@ -80,8 +80,8 @@ def rule_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (SELECT doc_id, text, list_filter(string_split(decode(encode(text)[1:8192]::BLOB), chr(10)), lambda x: trim(x) <> '')[1:12] AS ls
       FROM (SELECT doc_id, text FROM documents)))))""".replace("decode(encode(text)[1:8192]::BLOB)", "text").replace("\\\\", "\\"))
 def document_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts as files; only the head is looked at, which for delimiters is the first twelve lines in any case."""
-    d = table(spark, sf_dir, "documents").select("doc_id", detect.detect(F.encode("text", "UTF-8"), F.lit("a.txt")).alias("d"))
+    """Texts as files; delimiters are counted in the first twelve lines, wherever the head ends."""
+    d = table(spark, sf_dir, "documents").select("doc_id", detect.detect(F.encode("text", "UTF-8"), F.lit("a.txt"), whole=True).alias("d"))
     return d.select("doc_id", "d.slug", "d.confidence", "d.mime")
 
 

@@ -274,3 +274,15 @@ def test_similar_long_documents(spark, tmp_path):
     got = [(x["id"], x["id_b"], x["jaccard"]) for x in text_queries.near_dup_trigram_pairs(spark, str(tmp_path)).collect()]
     assert [x[:2] for x in got] == [(1, 3)] and 0.999 < got[0][2] < 1
     assert time.time() - began < 60
+
+
+def test_delimiters_beyond_the_head(spark, tmp_path):
+    from pagemill.plans import text_queries
+
+    long = "word " * 1700
+    texts = [f"a,b{long}\nc{long}", f"a{long}\nb,c", f"{long},", f"a,{long}\nb,{long}", f"a\t{long}\nb\tc", "1" + " " * 9000 + "x", '[1, 2]', "[" + "1," * 5000 + "1]"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["slug"] for r in text_queries.document_types(spark, str(tmp_path)).collect()}
+    assert got == {0: "plaintext", 1: "plaintext", 2: "csv", 3: "csv", 4: "tsv", 5: "plaintext", 6: "json", 7: "csv"}
+    head = spark.createDataFrame([(texts[0],)], "t string").select(detect.detect(F.encode("t", "UTF-8"), F.lit("a")).alias("d")).first()["d"]
+    assert head["slug"] == "csv"  # a file's type goes by its head alone
