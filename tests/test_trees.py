@@ -142,3 +142,21 @@ def test_events_of_documents(spark):
     r = spark.createDataFrame([("d", "ok", 1, None), ("e", "failed", 2, "bad")], "doc_id string, status string, ts int, error string")
     got = [(x["event"], x["payload"]) for x in ingest.document_events(r).orderBy("ts").collect()]
     assert got == [("document.parsed.v1", '{"doc_id":"d","status":"ok"}'), ("document.parse_failed", '{"doc_id":"e","status":"failed","error":"bad"}')]
+
+
+def test_flags_without_a_place_come_last(spark, tmp_path):
+    import duckdb
+
+    from pagemill.plans import document_queries
+
+    rows = [(1, 10, 1, "B"), (1, None, 2, "A"), (1, 5, 3, "C"), (2, None, 1, "A"), (2, 3, 1, "Z"), (2, None, None, "Z"), (3, 5, 1, None), (3, 6, 1, "A"), (4, None, None, "Q"), (5, -5, 0, "N"), (5, 0, 0, "M"), (5, None, None, None)]
+    rows += [(None, 1, 2, "K"), (None, 1, 1, "L")]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string").coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {x["l_orderkey"]: x["items"] for x in document_queries.fonts_in_order(spark, str(tmp_path)).collect()}
+    assert got == {1: ["B", "C", "A"], 2: ["Z", "A"], 3: [None, "A"], 4: ["Q"], 5: ["N", "M", None], None: ["L", "K"]}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    assert got == dict(con.execute(document_queries.SQL["fonts_in_order"]).fetchall())
+    ties = [(1, f, p) for f, p in (("R", 7), ("A", 7), (None, 7), ("N", 8), ("Z", None), ("Y", None))]
+    for some in (ties, ties[::-1]):
+        assert analytics.first_seen(spark.createDataFrame(some, "k int, f string, p long"), "k", "f", "p").first()["items"] == ["A", "R", None, "N", "Y", "Z"]
